@@ -118,6 +118,27 @@ def times_of_file(nodes: DataFrame, file_id: str) -> DataFrame:
     )
 
 
+def times_by_file(nodes: DataFrame, file: str = "file_id", time: str = "event_time") -> DataFrame:
+    """Nodes per file and event time, newest first within a file."""
+    return nodes.groupBy(file, time).agg(F.count("*").alias("n")).orderBy(file, F.desc(time))
+
+
+def counts_by_file(nodes: DataFrame, edges: DataFrame, file: str = "file_id") -> DataFrame:
+    """Nodes and edges of every file that has any."""
+    per_file = lambda df, name: df.groupBy(file).agg(F.count("*").alias(name))
+    none = F.lit(0).cast("long")
+    return per_file(nodes, "file_nodes").join(per_file(edges, "file_edges"), file, "full").select(
+        file, F.coalesce("file_nodes", none).alias("file_nodes"),
+        F.coalesce("file_edges", none).alias("file_edges"))
+
+
+def rollup(files: DataFrame, by: Sequence[str], failed: Column, sums: Mapping[str, str]) -> DataFrame:
+    """Files, failed files and summed counters per group."""
+    return files.groupBy(*by).agg(
+        F.count("*").alias("files"), F.count_if(failed).alias("error_files"),
+        *(F.coalesce(F.sum(column), F.lit(0)).alias(name) for name, column in sums.items()))
+
+
 def verdict(report: DataFrame, problems: Sequence[Column]) -> DataFrame:
     """Add ``mismatches`` (the problems that are not NULL) and ``status``."""
     found = F.array_compact(F.array(*problems)) if problems else F.array().cast("array<string>")
@@ -195,6 +216,14 @@ def singleton(documents: DataFrame, file_id: str) -> DataFrame:
         F.count_if(F.col("file_id") == file_id).alias("count_by_file_id"))
 
 
+def singletons(documents: DataFrame) -> DataFrame:
+    """For every ``_id``, how many documents carry it as ``_id`` and as ``file_id``."""
+    by_id = documents.groupBy("_id").agg(F.count("*").alias("count_by_id"))
+    by_file = documents.groupBy(F.col("file_id").alias("_id")).agg(F.count("*").alias("count_by_file_id"))
+    return by_id.join(by_file, "_id", "left").select(
+        "_id", "count_by_id", F.coalesce("count_by_file_id", F.lit(0).cast("long")).alias("count_by_file_id"))
+
+
 def verify_idempotency(nodes: DataFrame, edges: DataFrame, documents: DataFrame, file_id: str) -> DataFrame:
     """No duplicate id in any sink, and exactly one document for the file."""
     report = one_row(
