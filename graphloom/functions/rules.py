@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,30 +62,39 @@ RULES = {
 # -------------------------------------------------------------------------------------
 
 
-def violations(value: Column, fields: dict[str, dict], conditional: dict[str, str] | None = None,
-               type_field: str = "event_type") -> Column:
-    """Names of the rules that the JSON text ``value`` breaks, ``rule:field``, sorted.
+def with_violations(df: DataFrame, category: str, value: str = "value") -> DataFrame:
+    """Add ``violations`` for the JSON text of events of one category."""
+    return check_rules(df, value, *RULES[category])
+
+
+def check_rules(df: DataFrame, value: str, fields: Mapping[str, dict], conditional: Mapping[str, str],
+                type_field: str = "event_type", out: str = "violations") -> DataFrame:
+    """Add the sorted names, ``rule:field``, of the rules that a JSON text breaks.
 
     ``conditional`` fields are required only when ``type_field`` has the given value; all other
-    fields are always required, and no field beyond ``fields`` is allowed.
+    fields are always required, and no field beyond ``fields`` is allowed. The text is parsed once:
+    the parsed document, then the members, then the rules are separate projections.
     """
-    conditional = conditional or {}
-    document = F.try_parse_json(value)
-    member = lambda name, kind: F.try_variant_get(document, f"$.{name}", kind)
-    kind_of = lambda name: F.schema_of_variant(member(name, "variant"))
+    member = lambda name, kind: F.try_variant_get("_json", f"$.{name}", kind)
+    described = F.struct(*(
+        F.struct(F.schema_of_variant(member(name, "variant")).alias("kind"),
+                 member(name, "string").alias("text")).alias(name)
+        for name in fields))
+    parsed = df.withColumn("_json", F.try_parse_json(F.col(value)))
+    members = parsed.withColumn("_members", described)
+
     broken: list[Column] = []
 
     def rule(condition: Column, name: str) -> None:
         broken.append(F.when(F.coalesce(condition, F.lit(False)), F.lit(name)))
 
     for name, spec in fields.items():
-        kind, text = kind_of(name), member(name, "string")
-        present = kind.isNotNull()
+        kind, text = F.col(f"_members.{name}.kind"), F.col(f"_members.{name}.text")
+        present, is_string = kind.isNotNull(), kind == "STRING"
         needed = F.lit(True)
         if name in conditional:
-            needed = F.coalesce(member(type_field, "string") == conditional[name], F.lit(False))
+            needed = F.coalesce(F.col(f"_members.{type_field}.text") == conditional[name], F.lit(False))
         rule(~present & needed, f"required:{name}")
-        is_string = kind == "STRING"
         if "const" in spec:
             rule(present & ~(is_string & (text == spec["const"])), f"const:{name}")
         if "enum" in spec:
@@ -93,7 +104,7 @@ def violations(value: Column, fields: dict[str, dict], conditional: dict[str, st
         if spec.get("type") == "object":
             rule(present & ~kind.startswith("OBJECT"), f"type:{name}")
         if spec.get("type") == "integer":
-            number = member(name, "decimal(38,6)")
+            number = text.try_cast("decimal(38,6)")
             numeric = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
             whole = F.coalesce(number == F.floor(number), F.lit(False))
             rule(present & ~(numeric & whole), f"type:{name}")
@@ -105,18 +116,10 @@ def violations(value: Column, fields: dict[str, dict], conditional: dict[str, st
         if "format" in spec:
             rule(is_string & ~text.rlike(spec["format"]), f"format:{name}")
 
-    extra = F.array_except(
-        F.coalesce(F.json_object_keys(value), F.array().cast("array<string>")),
-        F.array(*map(F.lit, fields)))
-    found = F.concat(
-        F.array_compact(F.array(*broken)),
-        F.transform(extra, lambda key: F.concat(F.lit("additionalProperties:"), key)))
-    is_object = F.schema_of_variant(document).startswith("OBJECT")
-    return F.when(F.coalesce(is_object, F.lit(False)), F.array_sort(found)).otherwise(
-        F.array(F.lit("type:$")))
-
-
-def with_violations(df: DataFrame, category: str, value: str = "value") -> DataFrame:
-    """Add ``violations`` for events of one category."""
-    fields, conditional = RULES[category]
-    return df.withColumn("violations", violations(F.col(value), fields, conditional))
+    keys = F.coalesce(F.json_object_keys(F.col(value)), F.array().cast("array<string>"))
+    extra = F.transform(F.array_except(keys, F.array(*map(F.lit, fields))),
+                        lambda key: F.concat(F.lit("additionalProperties:"), key))
+    is_object = F.coalesce(F.schema_of_variant("_json").startswith("OBJECT"), F.lit(False))
+    found = F.array_sort(F.concat(F.array_compact(F.array(*broken)), extra))
+    return members.withColumn(
+        out, F.when(is_object, found).otherwise(F.array(F.lit("type:$")))).drop("_json", "_members")

@@ -124,10 +124,15 @@ def file_rows(flat: DataFrame) -> DataFrame:
     return flat.filter("size_bytes is not null")
 
 
+def with_envelope(df: DataFrame, flat: DataFrame) -> DataFrame:
+    """Add the file's own columns to rows that only carry its number."""
+    return df.join(file_rows(flat).select("file_no", *ENVELOPE), "file_no")
+
+
 def follow_edges(flat: DataFrame) -> DataFrame:
     """``next`` edges, and false branches and loop exits that leave through the successor."""
     statements = flat.filter("owners is not null").select(
-        "file_id", "pos", "parent_pos", "field", "index", "owners", "loop_pos", "node_type",
+        "file_no", "pos", "parent_pos", "field", "index", "owners", "loop_pos", "node_type",
         "has_orelse", node_id_column().alias("_id"))
     kind = F.col("node_type")
     name = (
@@ -136,12 +141,11 @@ def follow_edges(flat: DataFrame) -> DataFrame:
         .when(~kind.isin(*OWN_BRANCHES), F.lit("next"))
     )
     followed = inherited_follow(
-        statements, ["file_id"], "pos", ["parent_pos", "field"], "index", "owners", "loop_pos"
+        statements, ["file_no"], "pos", ["parent_pos", "field"], "index", "owners", "loop_pos"
     ).withColumn("_label", name).filter("_label is not null and follow is not null")
-    targets = statements.select("file_id", F.col("pos").alias("follow"), F.col("_id").alias("_to"))
-    envelope = file_rows(flat).select(*ENVELOPE)
-    linked = followed.select("file_id", "pos", "_id", "_label", "follow").join(
-        targets, ["file_id", "follow"]).join(envelope, "file_id")
+    targets = statements.select("file_no", F.col("pos").alias("follow"), F.col("_id").alias("_to"))
+    linked = with_envelope(followed.select("file_no", "pos", "_id", "_label", "follow").join(
+        targets, ["file_no", "follow"]), flat)
     return edges_of(linked, "CFG", F.col("_id"), F.col("_to"), _labelled(F.col("_label")), 1,
                     F.col("pos"))
 

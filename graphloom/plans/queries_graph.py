@@ -165,7 +165,7 @@ def _conversation_code(spark, sf_dir):
     rows = turns.drop("text").unionByName(lines).unionByName(modules, allowMissingColumns=True)
     path = F.concat(F.lit("conv/"), F.col("conv_id").cast("string"))
     return rows.select(
-        "*", F.lit(REPOSITORY).alias("repository"), path.alias("path"),
+        "*", F.col("conv_id").alias("file_no"), F.lit(REPOSITORY).alias("repository"), path.alias("path"),
         ids.file_id(F.lit(REPOSITORY), path).alias("file_id"), F.lit("").alias("content_sha256"),
         F.lit("body").alias("field"), F.lit(False).alias("has_orelse"))
 

@@ -27,13 +27,13 @@ def topic_of(category: Column) -> Column:
 
 
 def log_records(feed: DataFrame, revision_seq: int, partitions: int = 1) -> DataFrame:
-    """Feed rows as log records. Offsets grow with the revision and, within a file, in event order;
-    they may have gaps. Records of one key always share a partition.
+    """Feed rows as log records. Offsets grow with the revision and, within it, by file, event order
+    and position; they may have gaps. Records of one key always share a partition.
 
-    Only the rows of a file have to be in order, so they are brought together by file: a total
-    sort would have to sample, and thereby compute, the whole feed first.
+    The feed is sorted by ranges, so a file with very many events spreads over many tasks. Sorting
+    reads the sort columns of the feed once more: give it as a written table.
     """
-    ordered = feed.repartition("file_id").sortWithinPartitions("file_id", "op_rank", "ord")
+    ordered = feed.orderBy("file_id", "op_rank", "ord")
     task = F.shiftright(F.col("_id"), 33)
     row = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
     fits = (task < (1 << _TASK_BITS)) & (row < (1 << _ROW_BITS))
@@ -107,9 +107,7 @@ def first_records(log: DataFrame) -> DataFrame:
 def write_dump(feed: DataFrame, target: str) -> None:
     """Dry run: JSON lines per category, in event order."""
     (
-        feed.select("category", "value", "file_id", "op_rank", "ord")
-        .repartition("category", "file_id").sortWithinPartitions("category", "file_id", "op_rank", "ord")
-        .select("category", "value")
+        feed.orderBy("category", "file_id", "op_rank", "ord").select("category", "value")
         .write.mode("overwrite").partitionBy("category").text(target)
     )
 
