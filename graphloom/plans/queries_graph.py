@@ -219,7 +219,7 @@ def branch_edges(spark, sf_dir):
 # --- names ----------------------------------------------------------------------------------
 
 # Event ids are positions in one log, so a fixed number of them bounds every chunk.
-_CHUNK = 100_000
+_CHUNK = 1_000_000
 
 
 @query("""
