@@ -60,11 +60,11 @@ def missing_endpoints(edges: DataFrame, nodes: DataFrame, end: str, key: str) ->
 
 
 def one_row(*reports: DataFrame) -> DataFrame:
-    """Side by side columns of one-row reports."""
-    merged = reports[0].withColumn("_row", F.lit(1))
+    """Side by side columns of one-row reports: their union, reduced to the values present."""
+    merged = reports[0]
     for report in reports[1:]:
-        merged = merged.join(report.withColumn("_row", F.lit(1)), "_row")
-    return merged.drop("_row")
+        merged = merged.unionByName(report, allowMissingColumns=True)
+    return merged.agg(*(F.max(name).alias(name) for name in merged.columns))
 
 
 def corpus_integrity(nodes: DataFrame, edges: DataFrame, metadata: DataFrame, errors: DataFrame,
@@ -139,6 +139,11 @@ def rollup(files: DataFrame, by: Sequence[str], failed: Column, sums: Mapping[st
         *(F.coalesce(F.sum(column), F.lit(0)).alias(name) for name, column in sums.items()))
 
 
+def write_report(report: DataFrame, target: str) -> None:
+    """Write a one-row report as a single JSON document."""
+    report.coalesce(1).write.mode("overwrite").json(target)
+
+
 def verdict(report: DataFrame, problems: Sequence[Column]) -> DataFrame:
     """Add ``mismatches`` (the problems that are not NULL) and ``status``."""
     found = F.array_compact(F.array(*problems)) if problems else F.array().cast("array<string>")

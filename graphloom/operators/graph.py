@@ -154,9 +154,13 @@ def cfg_edges(flat: DataFrame) -> DataFrame:
     return entry_edges(flat).unionByName(follow_edges(flat))
 
 
-def dedupe_edges(edges: DataFrame, key: str = "edge_id", source: str = "source_id",
-                 target: str = "target_id", edge_type: str | None = "edge_type") -> DataFrame:
-    """Distinct edges without self loops or empty endpoints; an unknown edge type is fatal."""
+def dedupe_edges(edges: DataFrame, source: str = "source_id", target: str = "target_id",
+                 edge_type: str | None = "edge_type", position: str = "ord") -> DataFrame:
+    """Distinct edges without self loops or empty endpoints; an unknown edge type is fatal.
+
+    An edge's id is a digest of its other columns, so equal ids are equal rows. Of equal edges the
+    first ``position`` is kept, if there is such a column.
+    """
     usable = (F.col(source) != F.col(target)) & (F.col(source).cast("string") != "") & (
         F.col(target).cast("string") != "")
     kept = edges.filter(usable)
@@ -164,7 +168,10 @@ def dedupe_edges(edges: DataFrame, key: str = "edge_id", source: str = "source_i
         kept = kept.withColumn(edge_type, F.when(
             F.col(edge_type).isin(*C.EDGE_TYPES), F.col(edge_type)).otherwise(
             F.raise_error(F.concat(F.lit("Unsupported edge type: "), F.col(edge_type))).cast("string")))
-    return kept.dropDuplicates([key])
+    if position not in kept.columns:
+        return kept.distinct()
+    rest = [name for name in kept.columns if name != position]
+    return kept.groupBy(*rest).agg(F.min(position).alias(position)).select(*kept.columns)
 
 
 def edge_counts(edges: DataFrame, by: str = "file_id", kind: str = "edge_type",

@@ -10,7 +10,8 @@ from graphloom.functions import ids
 from graphloom.operators import checks, graph, names, sequence
 from graphloom.plans import derived
 from graphloom.plans.catalog import REPOSITORY, query, table
-from graphloom.plans.extract import extract
+from graphloom.plans.extract import edges_of_syntax, errors, extract, syntax_rows
+from graphloom.session import materialise
 
 # --- tree: region -> nation -> customer -> order -> line -----------------------------------
 
@@ -97,8 +98,9 @@ def node_ids(spark, sf_dir):
     select sha256({_FILE} || ':AST:' || source_id || ':' || target_id || ':' || properties) as edge_id,
            source_id, target_id, properties from e""")
 def tree_edges(spark, sf_dir):
-    edges = graph.dedupe_edges(graph.ast_edges(_tree(spark, sf_dir)))
-    return edges.select("edge_id", "source_id", "target_id", "properties")
+    edges = graph.ast_edges(_tree(spark, sf_dir)).select(
+        "edge_id", "edge_type", "source_id", "target_id", "properties")
+    return graph.dedupe_edges(edges).drop("edge_type")
 
 
 @query(f"""
@@ -467,7 +469,8 @@ _EDGES = (
     from x""")
 def source_edges(spark, sf_dir):
     """Every CFG, DFG and CALL edge of the files."""
-    return extract(_order_files(spark, sf_dir)).edges.filter("edge_type <> 'AST'").select(
+    flat = materialise(syntax_rows(_order_files(spark, sf_dir)), "syntax")
+    return edges_of_syntax(flat).filter("edge_type <> 'AST'").select(
         "file_id", "edge_type", "source_id", "target_id", "properties", "edge_id")
 
 
@@ -483,8 +486,8 @@ _LITERAL_SQL = f"""
 def source_literals(spark, sf_dir):
     """Label and value of the literal that holds the whole text of a document."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = extract(derived.literal_files(documents, REPOSITORY, "texts", "doc_id", "text"))
-    return found.nodes.filter("node_type = 'Constant'").select(
+    flat = syntax_rows(derived.literal_files(documents, REPOSITORY, "texts", "doc_id", "text"))
+    return graph.nodes(flat).filter("node_type = 'Constant'").select(
         "file_id", "node_id", "label", F.get_json_object("properties", "$.value").alias("value"))
 
 
@@ -497,12 +500,13 @@ def source_literals(spark, sf_dir):
 def source_breakdown(spark, sf_dir):
     """Nodes by type of the files that hold the documents as literals."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = extract(derived.literal_files(documents, REPOSITORY, "texts", "doc_id", "text"))
-    return checks.breakdown(found.nodes, F.col("node_type"))
+    flat = syntax_rows(derived.literal_files(documents, REPOSITORY, "texts", "doc_id", "text"))
+    return checks.breakdown(graph.nodes(flat), F.col("node_type"))
 
 
 @query()
 def source_errors(spark, sf_dir):
     """Documents taken as Python as they are: nearly all fail, each with its own error."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return extract(derived.text_files(documents, REPOSITORY, "raw", "doc_id", "text")).errors.drop("repository")
+    flat = syntax_rows(derived.text_files(documents, REPOSITORY, "raw", "doc_id", "text"))
+    return errors(flat).drop("repository")

@@ -145,6 +145,12 @@ def current_documents(spark: SparkSession, target: str) -> DataFrame:
     return latest_by_key(rows, ["_id"], [*DOCUMENT_ORDER, "_age"]).drop("_age")
 
 
+def recent_errors(spark: SparkSession, target: str, now: Column | None = None) -> DataFrame:
+    """Stored parser errors that are still within their retention time."""
+    timed = stored(spark, target).withColumn("_time", text.event_time(F.col("event_time")))
+    return changes.retain(timed, "_time", F.current_timestamp() if now is None else now).drop("_time")
+
+
 def current_nodes(changes_log: DataFrame) -> DataFrame:
     return changes.apply_changes(
         changes_log, "node_id", GRAPH_ORDER, F.col("event_type") == C.NODE_DELETE

@@ -253,3 +253,19 @@ def test_run_summary(spark, files_of):
     assert (row.total_nodes_emitted, row.total_edges_emitted) == (17, 22)
     assert tuple(row.cpg_breakdown) == (17, 16, 2, 2, 2)
     assert row.execution_duration_sec == 2.0 and row.executed_at == "2026-01-01T00:00:02.000000+00:00"
+
+
+def test_error_stream_and_report(spark, files_of, tmp_path):
+    at = Locations(str(tmp_path))
+    old = F.lit("2020-01-01T00:00:00.000000+00:00")
+    run_batch(spark, files_of({"a.py": "def broken(:\n", "b.py": "x = 1\n"}), at, 1, event_time=old)
+    run_batch(spark, files_of({"c.py": "x = = 1\n"}), at, 2)
+    drain(spark, at)
+    assert sinks.stored(spark, at.table("error")).count() == 2
+    assert [r.path for r in sinks.recent_errors(spark, at.table("error")).collect()] == ["c.py"]
+    nodes, edges, documents = state_of(spark, at)
+    assert {(r.path, r.status) for r in documents.collect()} == {
+        ("a.py", "FAILED"), ("b.py", "PARSED"), ("c.py", "FAILED")}
+    checks.write_report(checks.verify_graph(nodes, edges, {"total_nodes": 5}), str(tmp_path / "report"))
+    (report,) = spark.read.json(str(tmp_path / "report")).collect()
+    assert report.status == "PASS" and report.total_edges == 4
