@@ -83,4 +83,6 @@ ODDITIES = {
     "carriage.py": "a = 1\r\nb = (a,\r\n     a)\r\n",
     "generators.py": "r = {k: v for k, v in items if k for j in v}\ns = (y for x in r for y in x)\nprint(k, v, j)\n",
     "call_chain.py": "f().g(h)[0](a.b.c(), *args, **kw)\n(lambda: 0)()\n",
+    "deep.py": "x = " + " + ".join(["x"] * 400) + "\n",
+    "nested.py": "".join("    " * i + f"def f{i}(a):\n" for i in range(40)) + "    " * 40 + "return a\n",
 }
