@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from graphloom import contract as C
 from graphloom.functions import ids
-from graphloom.operators import changes, feed, sequence
+from graphloom.operators import changes, checks, feed, sequence
+from graphloom.plans import derived
 from graphloom.plans.catalog import REPOSITORY, query, table
 from graphloom.plans.extract import Extraction
+from graphloom.plans.pipeline import Locations, drain, run_batch
 from graphloom.session import shared_folder
 from graphloom.sources import logs
 from graphloom.streaming import sinks
@@ -344,3 +346,37 @@ def stream_graph(spark, sf_dir):
     stream = logs.stream_log(spark, f"{at}/log", C.TOPICS["node"], files_per_trigger=1)
     sinks.start_graph(stream, "node", f"{at}/table", f"{at}/checkpoint", None).awaitTermination()
     return sinks.current_nodes(sinks.stored(spark, f"{at}/table")).select("node_id", "offset")
+
+
+# Nodes and edges of the derived texts: of the first revision, and of the second one.
+@query(f"""
+    with s as (
+        select 'suppliers/' || s_suppkey || '.py' as path, s_acctbal > 5000 as edited, s_acctbal < 0 as broken
+        from supplier)
+    select sha256('{REPOSITORY}:' || path) as file_id, path,
+           (case when edited then 51 + 3 * 8 else 47 + 8 end)::bigint as file_nodes,
+           (case when edited then 50 + 12 + 9 + 2 + 3 * 10 else 46 + 8 + 8 + 3 + 10 end)::bigint as file_edges,
+           (case when broken then 0 when edited then 9 + 3 else 8 + 1 end)::bigint as dfg_edge_count,
+           case when broken then 'FAILED' else 'PARSED' end as status
+    from s""")
+def replay_graph(spark, sf_dir):
+    """The whole pipeline over two revisions: extraction, diff, log, streams and current state. In the
+    second revision some files are edited, some are broken and the others are not in the batch."""
+    at = Locations(_run_folder(spark))
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
+
+    def texts(df, kind, steps):
+        return derived.row_files(df, REPOSITORY, "suppliers", "s_suppkey", "s_nationkey", F.lit(kind), F.lit(steps))
+
+    edited = texts(suppliers.filter("s_acctbal > 5000"), 1, 3)
+    broken = texts(suppliers.filter("s_acctbal < 0"), 0, 1).withColumn(
+        "content", F.lit("def broken(:\n").cast("binary"))
+    run_batch(spark, texts(suppliers, 0, 1), at, 1, partitions=4)
+    run_batch(spark, edited.unionByName(broken), at, 2, partitions=4)
+    drain(spark, at)
+    nodes, edges = sinks.graph_view(spark, at.table("node"), at.table("edge"))
+    counted = checks.counts_by_file(nodes, edges)
+    documents = sinks.current_documents(spark, at.table("metadata")).select(
+        "file_id", "path", F.col("dfg_edge_count").cast("long").alias("dfg_edge_count"), "status")
+    return documents.join(counted, "file_id", "full").select(
+        "file_id", "path", "file_nodes", "file_edges", "dfg_edge_count", "status")

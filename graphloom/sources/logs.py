@@ -145,3 +145,13 @@ def replay_dumps(spark: SparkSession, folder: str, categories: Sequence[str] = t
             F.lit(0).alias("op_rank"), F.lit("").alias("ord"))
         feed = part if feed is None else feed.unionByName(part)
     return feed
+
+
+def sample_events(spark: SparkSession, location: str, category: str) -> DataFrame:
+    """Sample files, each with one JSON event in any layout, as feed rows with their key."""
+    texts = spark.read.text(location, wholetext=True).withColumn("_json", F.parse_json("value"))
+    member = lambda name: F.variant_get("_json", f"$.{name}", "string")
+    return texts.select(
+        F.lit(category).alias("category"), member(C.KEYS[category]).alias("key"),
+        F.to_json("_json").alias("value"), member("file_id").alias("file_id"),
+        member("event_type").alias("event_type"), F.lit(0).alias("op_rank"), F.lit("").alias("ord"))

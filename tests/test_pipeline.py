@@ -269,3 +269,14 @@ def test_error_stream_and_report(spark, files_of, tmp_path):
     checks.write_report(checks.verify_graph(nodes, edges, {"total_nodes": 5}), str(tmp_path / "report"))
     (report,) = spark.read.json(str(tmp_path / "report")).collect()
     assert report.status == "PASS" and report.total_edges == 4
+
+
+def test_sample_events(spark, tmp_path):
+    for number, sha in enumerate("ab"):
+        event = json.loads(metadata_event(sha, 8 + number))
+        (tmp_path / f"{number}.json").write_text(json.dumps(event, indent=2))
+    samples = logs.sample_events(spark, str(tmp_path / "*.json"), "metadata")
+    logs.publish(samples, str(tmp_path / "log"), 1)
+    log = logs.read_log(spark, str(tmp_path / "log"), C.TOPICS["metadata"])
+    assert {r.key for r in log.collect()} == {"f" * 64}
+    assert {r.line_count for r in sinks.documents(log).collect()} == {8, 9}
