@@ -48,7 +48,7 @@ def ascii_json(text: Column) -> Column:
         )
 
     escaped = F.array_join(F.transform(F.split(text, ""), escape), "")
-    return F.when(text.rlike(r"[^\x00-\x7f]"), escaped).otherwise(text)
+    return F.when(F.octet_length(text) == F.length(text), text).otherwise(escaped)
 
 
 def json_string(text: Column) -> Column:

@@ -15,6 +15,17 @@ from graphloom import contract as C
 from graphloom.operators.changes import compare_sets, missing_from
 
 
+# --- fixed values: texts of the mismatches in a report -------------------------------
+DIFFERS = "{name}: expected {expected}, got "
+DUPLICATES = "duplicate {key} values detected"
+EDGES_OF_TYPE = "{kind} edges"
+OTHER_ID = ("_id != file_id for ", " documents")
+MISSING_FILES = " manifest files are missing"
+UNEXPECTED_DOCUMENTS = " unexpected documents exist"
+ABSENT_FIELD = ("{field} is absent in ", " documents")
+# -------------------------------------------------------------------------------------
+
+
 def totals(df: DataFrame, key: str, prefix: str) -> DataFrame:
     """Rows, and distinct keys. Grouping by key first leaves no task with a whole duplicate group."""
     per_key = df.groupBy(key).agg(F.count("*").alias("_n"))
@@ -155,7 +166,7 @@ def expected_value(name: str, expected: object, shown: str | None = None) -> Col
     """A problem text when a column differs from its expected value."""
     differs = F.coalesce(F.col(name) != F.lit(expected), F.lit(True))
     return F.when(differs, F.concat(
-        F.lit(f"{shown or name}: expected {expected}, got "), F.coalesce(F.col(name).cast("string"), F.lit("null"))))
+        F.lit(DIFFERS.format(name=shown or name, expected=expected)), F.coalesce(F.col(name).cast("string"), F.lit("null"))))
 
 
 def problem(condition: Column, message: str | Column) -> Column:
@@ -164,11 +175,11 @@ def problem(condition: Column, message: str | Column) -> Column:
 
 def verify_graph(nodes: DataFrame, edges: DataFrame, expected: Mapping[str, int]) -> DataFrame:
     """Stored graph against expected counts (any of the snapshot's columns), plus unique ids."""
-    shown = {k: f"{k} edges" for k in C.EDGE_TYPES}
+    shown = {k: EDGES_OF_TYPE.format(kind=k) for k in C.EDGE_TYPES}
     problems = [expected_value(name, value, shown.get(name)) for name, value in expected.items()]
     problems += [
-        problem(F.expr("total_nodes <> distinct_node_ids"), "duplicate node_id values detected"),
-        problem(F.expr("total_edges <> distinct_edge_ids"), "duplicate edge_id values detected"),
+        problem(F.expr("total_nodes <> distinct_node_ids"), DUPLICATES.format(key="node_id")),
+        problem(F.expr("total_edges <> distinct_edge_ids"), DUPLICATES.format(key="edge_id")),
     ]
     return verdict(graph_snapshot(nodes, edges), problems)
 
@@ -199,16 +210,16 @@ def verify_documents(documents: DataFrame, manifest: DataFrame, expected: int) -
         "total_documents", "distinct_file_ids", "distinct_document_ids")]
     problems += [
         problem(F.col("id_file_id_mismatches") > 0, F.concat(
-            F.lit("_id != file_id for "), text("id_file_id_mismatches", " documents"))),
-        problem(F.col("duplicate_file_ids") > 0, "duplicate file_id values detected"),
+            F.lit(OTHER_ID[0]), text("id_file_id_mismatches", OTHER_ID[1]))),
+        problem(F.col("duplicate_file_ids") > 0, DUPLICATES.format(key="file_id")),
         problem(F.col("missing_manifest_file_ids") > 0,
-                text("missing_manifest_file_ids", " manifest files are missing")),
+                text("missing_manifest_file_ids", MISSING_FILES)),
         problem(F.col("unexpected_document_ids") > 0,
-                text("unexpected_document_ids", " unexpected documents exist")),
+                text("unexpected_document_ids", UNEXPECTED_DOCUMENTS)),
     ]
     problems += [
         problem(F.col(f"missing_{f}") > 0, F.concat(
-            F.lit(f"{f} is absent in "), text(f"missing_{f}", " documents")))
+            F.lit(ABSENT_FIELD[0].format(field=f)), text(f"missing_{f}", ABSENT_FIELD[1])))
         for f in REQUIRED_DOCUMENT_FIELDS
     ]
     return verdict(report, problems)

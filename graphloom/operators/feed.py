@@ -42,7 +42,7 @@ def common(event_type: str, event_time: Column) -> list[Column]:
 def events(df: DataFrame, category: str, event_type: str, event_time: Column, ord: Column) -> DataFrame:
     """Feed rows of one event type. Unknown categories are refused, empty keys are fatal."""
     if category not in C.CATEGORIES:
-        raise ValueError(f"Unknown event category: {category}")
+        raise ValueError(f"no such event category: {category}")
     known = {f.name for f in C.EVENT_SCHEMAS[category].fields}
     delete = event_type.endswith("_DELETE")
     payload = [
@@ -52,7 +52,7 @@ def events(df: DataFrame, category: str, event_type: str, event_time: Column, or
     properties = F.col("properties") if "properties" in known and not delete else None
     key = F.col(C.KEYS[category])
     guarded = F.when(F.coalesce(key, F.lit("")) != "", key).otherwise(
-        F.raise_error(F.lit(f"Missing key for {category} event")).cast("string"))
+        F.raise_error(F.lit(f"{category} event without a key")).cast("string"))
     return df.select(
         F.lit(category).alias("category"), guarded.alias("key"),
         event_json(common(event_type, event_time) + payload, properties).alias("value"),

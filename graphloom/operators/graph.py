@@ -167,7 +167,7 @@ def dedupe_edges(edges: DataFrame, source: str = "source_id", target: str = "tar
     if edge_type:
         kept = kept.withColumn(edge_type, F.when(
             F.col(edge_type).isin(*C.EDGE_TYPES), F.col(edge_type)).otherwise(
-            F.raise_error(F.concat(F.lit("Unsupported edge type: "), F.col(edge_type))).cast("string")))
+            F.raise_error(F.concat(F.lit("no such edge type: "), F.col(edge_type))).cast("string")))
     if position not in kept.columns:
         return kept.distinct()
     rest = [name for name in kept.columns if name != position]

@@ -71,7 +71,7 @@ def _state(spark: SparkSession, at: Locations, name: str, revision_seq: int) ->
     """Stored ids of earlier revisions; another state version is fatal."""
     rows = spark.read.parquet(at.state(name)).filter(F.col("revision_seq") < revision_seq)
     version = F.col("state_version")
-    fatal = F.raise_error(F.lit("Unsupported parser state version")).cast("int")
+    fatal = F.raise_error(F.lit("the stored state was written by another version")).cast("int")
     return rows.filter(F.when(version == C.STATE_VERSION, version).otherwise(fatal).isNotNull()).drop(
         "state_version")
 

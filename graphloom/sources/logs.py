@@ -23,7 +23,7 @@ def topic_of(category: Column) -> Column:
     """Topic of a category; an unknown category is fatal."""
     topics = F.create_map(*(F.lit(v) for pair in C.TOPICS.items() for v in pair))
     return F.coalesce(F.try_element_at(topics, category), F.raise_error(
-        F.concat(F.lit("Unknown event category: "), category)).cast("string"))
+        F.concat(F.lit("no such event category: "), category)).cast("string"))
 
 
 def log_records(feed: DataFrame, revision_seq: int, partitions: int = 1) -> DataFrame:
@@ -123,7 +123,7 @@ def require_valid(events: DataFrame) -> DataFrame:
     bad = F.col("_corrupt_record")
     key = events.columns[0]
     return events.withColumn(key, F.when(bad.isNull(), F.col(key)).otherwise(
-        F.raise_error(F.concat(F.lit("invalid JSON: "), bad)).cast("string"))).drop("_corrupt_record")
+        F.raise_error(F.concat(F.lit("not JSON: "), bad)).cast("string"))).drop("_corrupt_record")
 
 
 def replay_dumps(spark: SparkSession, folder: str, categories: Sequence[str] = tuple(C.CATEGORIES),
@@ -132,7 +132,7 @@ def replay_dumps(spark: SparkSession, folder: str, categories: Sequence[str] = t
     reads the layout of ``write_dump`` instead of one file per category."""
     unknown = [name for name in categories if name not in C.CATEGORIES]
     if unknown:
-        raise ValueError(f"Unknown stream(s): {unknown}. Valid: {list(C.CATEGORIES)}")
+        raise ValueError(f"no such categories: {unknown}; known are {list(C.CATEGORIES)}")
     feed = None
     for category in categories:
         name = f"category={category}" if partitioned else C.CATEGORIES[category][2]

@@ -135,7 +135,7 @@ def stored(spark: SparkSession, target: str) -> DataFrame:
     rows = spark.read.option("basePath", target).parquet(f"{target}/run_id=*").drop(*_PARTITION)
     version = F.col("state_version")
     checked = F.when(version == C.STATE_VERSION, version).otherwise(
-        F.raise_error(F.lit(f"Unsupported state version in {target}")).cast("int"))
+        F.raise_error(F.lit(f"{target} was written by another version")).cast("int"))
     return rows.filter(checked.isNotNull()).drop("state_version")
 
 

@@ -14,8 +14,7 @@ from graphloom.streaming import sinks
 from tests.fixtures import SOURCES
 
 MARKER = (
-    '\n\ndef __revision_marker__(value):\n    """Temporary edit used by the replay proof."""\n'
-    "    return value + 1\n"
+    '\n\ndef marker(number):\n    """An edit that adds 11 nodes and 14 edges."""\n    return number + 1\n'
 )
 CORPUS = {path: SOURCES[path][0] for path in ("F1.py", "F2.py", "F4.py", "F10/__init__.py")}
 
