@@ -72,16 +72,17 @@ def check_rules(df: DataFrame, value: str, fields: Mapping[str, dict], condition
     """Add the sorted names, ``rule:field``, of the rules that a JSON text breaks.
 
     ``conditional`` fields are required only when ``type_field`` has the given value; all other
-    fields are always required, and no field beyond ``fields`` is allowed. The text is parsed once:
-    the parsed document, then the members, then the rules are separate projections.
+    fields are always required, and no field beyond ``fields`` is allowed. The text is parsed once
+    into variants; their kinds and texts are columns of their own, so no rule works them out again.
     """
-    member = lambda name, kind: F.try_variant_get("_json", f"$.{name}", kind)
-    described = F.struct(*(
-        F.struct(F.schema_of_variant(member(name, "variant")).alias("kind"),
-                 member(name, "string").alias("text")).alias(name)
-        for name in fields))
-    parsed = df.withColumn("_json", F.try_parse_json(F.col(value)))
-    members = parsed.withColumn("_members", described)
+    document = "struct<" + ",".join(f"{name}:variant" for name in fields) + ">"
+    parsed = df.withColumns({
+        "_document": F.from_json(value, document), "_keys": F.json_object_keys(F.col(value))})
+    described = {}
+    for name in fields:
+        described[f"_kind_{name}"] = F.schema_of_variant(F.col(f"_document.{name}"))
+        described[f"_text_{name}"] = F.try_variant_get(F.col(f"_document.{name}"), "$", "string")
+    members = parsed.withColumns(described)
 
     broken: list[Column] = []
 
@@ -89,11 +90,12 @@ def check_rules(df: DataFrame, value: str, fields: Mapping[str, dict], condition
         broken.append(F.when(F.coalesce(condition, F.lit(False)), F.lit(name)))
 
     for name, spec in fields.items():
-        kind, text = F.col(f"_members.{name}.kind"), F.col(f"_members.{name}.text")
-        present, is_string = kind.isNotNull(), kind == "STRING"
+        kind = F.coalesce(F.col(f"_kind_{name}"), F.lit("VOID"))
+        text, is_string = F.col(f"_text_{name}"), kind == "STRING"
+        present = F.array_contains("_keys", name)
         needed = F.lit(True)
         if name in conditional:
-            needed = F.coalesce(F.col(f"_members.{type_field}.text") == conditional[name], F.lit(False))
+            needed = F.coalesce(F.col(f"_text_{type_field}") == conditional[name], F.lit(False))
         rule(~present & needed, f"required:{name}")
         if "const" in spec:
             rule(present & ~(is_string & (text == spec["const"])), f"const:{name}")
@@ -116,10 +118,9 @@ def check_rules(df: DataFrame, value: str, fields: Mapping[str, dict], condition
         if "format" in spec:
             rule(is_string & ~text.rlike(spec["format"]), f"format:{name}")
 
-    keys = F.coalesce(F.json_object_keys(F.col(value)), F.array().cast("array<string>"))
-    extra = F.transform(F.array_except(keys, F.array(*map(F.lit, fields))),
+    extra = F.transform(F.array_except("_keys", F.array(*map(F.lit, fields))),
                         lambda key: F.concat(F.lit("additionalProperties:"), key))
-    is_object = F.coalesce(F.schema_of_variant("_json").startswith("OBJECT"), F.lit(False))
     found = F.array_sort(F.concat(F.array_compact(F.array(*broken)), extra))
-    return members.withColumn(
-        out, F.when(is_object, found).otherwise(F.array(F.lit("type:$")))).drop("_json", "_members")
+    no_object = F.array(F.lit("type:$"))
+    return members.withColumn(out, F.when(F.col("_keys").isNull(), no_object).otherwise(found)).drop(
+        "_document", "_keys", *described)
