@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from graphloom.llm import jaccard, language, leaks, mixing, quality, records
+from graphloom.llm import jaccard, language, leaks, mixing, quality, records, repeats
 from graphloom.llm.common import remainder, table
 
 QUERIES: dict = {}
@@ -59,6 +59,15 @@ def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.links(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every text that repeat a smaller document."""
+    found = repeats.without_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query()
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every text, by trees from the folds that are not held out."""
