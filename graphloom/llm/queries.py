@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from graphloom.llm import jaccard, language, leaks, mixing, quality, records, repeats
-from graphloom.llm.common import remainder, table
+from graphloom.llm import chat, jaccard, language, leaks, mixing, quality, records, repeats, rules, secrets
+from graphloom.llm.common import materialise, remainder, table
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -59,6 +59,53 @@ def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.links(table(spark, sf_dir, "documents"))
 
 
+def _places(kind: str, number: int, pattern: str, value: str, least: int) -> str:
+    """SQL for the spans of one kind: (doc_id, kind, k, start, end, value)."""
+    return rf"""
+  SELECT doc_id, '{kind}' AS kind, {number} AS k, p AS start, p + length(m[i]) AS stop, {value} AS value FROM (
+    SELECT doc_id, m, v, i, CAST(list_sum(list_transform(g[:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[:i - 1], lambda x: length(x))), 0) AS BIGINT) AS p
+    FROM (SELECT doc_id, m, v, g, unnest(range(1, len(m) + 1)) AS i FROM (
+      SELECT doc_id, regexp_extract_all(t, '{pattern}') AS m, regexp_extract_all(t, '{pattern}', {2 if kind == "assign" else 0}) AS v,
+             string_split_regex(t, '{pattern}') AS g FROM texts))) WHERE length({value}) >= {least}"""
+
+
+_ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+
+
+@query(rf"""
+WITH texts AS (SELECT doc_id, coalesce(source, '') || '/' || coalesce(lang, '') AS repository, source AS owner, coalesce(text, '') AS t FROM documents),
+base AS ({_places("assign", 0, _ASSIGN, "v[i]", 6)} UNION ALL {_places("access", 1, "AKIA[A-Z0-9]+", "m[i]", 20)}
+         UNION ALL {_places("hex", 2, "[0-9a-f]{24,}", "m[i]", 24)}),
+tokens AS (SELECT * FROM ({_places("owned", 3, "[A-Za-z0-9+/_=-]{20,}", "m[i]", 0)}) WHERE regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]')),
+free AS (SELECT * FROM tokens t WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = t.doc_id AND b.start < t.stop AND t.start < b.stop)),
+every AS (SELECT * FROM base UNION ALL SELECT * FROM free),
+owned AS (SELECT value, count(DISTINCT coalesce(owner, '?')) AS n_owners FROM every JOIN texts USING (doc_id) GROUP BY value),
+judged AS (
+  SELECT every.*, n_owners >= 3 AS example,
+         n_owners < 3 AND len(list_distinct(string_split(value, ''))) >= 10 AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]') AS live
+  FROM every JOIN owned USING (value)),
+shown AS (SELECT * FROM judged WHERE k < 3 OR live),
+based AS (
+  SELECT doc_id, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, k) AS listed FROM base GROUP BY 1),
+spanned AS (
+  SELECT doc_id, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, k) AS listed,
+         count(*) FILTER (live) AS n_live, count(*) FILTER (example) AS n_example FROM shown GROUP BY 1)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(based.listed, '')) AS base_sha256, coalesce(spanned.listed, '') AS spans,
+       coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+FROM documents LEFT JOIN based USING (doc_id) LEFT JOIN spanned USING (doc_id)
+""")
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Patterned spans of every text, and tokens that only one or two sources have."""
+    repository = F.concat(F.coalesce("source", F.lit("")), F.lit("/"), F.coalesce("lang", F.lit("")))
+    found = secrets.scan(table(spark, sf_dir, "documents"), repository, F.col("source"))
+    counts = [F.size(F.array_remove("base.kind", k)) for k in range(len(secrets.BASE))]
+    counts = [(F.size("base") - n).cast("long").alias(f"n_{kind}") for n, (kind, *_) in zip(counts, secrets.BASE, strict=True)]
+    return found.select("doc_id", *counts, F.sha2(secrets.listed(F.col("base")), 256).alias("base_sha256"),
+                        secrets.listed(F.col("spans")).alias("spans"), "n_live", "n_example")
+
+
 @query()
 def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every text that repeat a smaller document."""
@@ -68,6 +115,32 @@ def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query(r"""
+WITH turns AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+sized AS (
+  SELECT *, length(replace(replace(coalesce(role, ''), '\', '\\'), '<', '\l')) + 8 + length(replace(replace(text, '\', '\\'), '<', '\l')) + 8 AS n
+  FROM turns)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(coalesce(role, '') || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(n) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+""")
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Formatted conversations, written and read back."""
+    planted = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", planted), (-7, 1, "assistant", planted)],
+                                  "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    read = chat.read_back(materialise(chat.format_conversations(turns), "formatted"))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+                       F.length("trained").cast("long").alias("loss_chars"), F.sha2("trained", 256).alias("loss_sha256"),
+                       "formatted_chars")
+
+
 @query()
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every text, by trees from the folds that are not held out."""
@@ -110,6 +183,36 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.octet_length("hits") > 0).alias("contaminated"))
 
 
+@query(r"""
+WITH words AS (
+  SELECT doc_id, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS phrase FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM words WHERE len(w) >= 5)),
+repeated AS (
+  SELECT doc_id, count(DISTINCT j) AS n_repeat_words FROM (
+    SELECT doc_id, unnest(range(i, i + 5)) AS j FROM windows JOIN (
+      SELECT doc_id, phrase FROM windows GROUP BY 1, 2 HAVING count(*) > 1) USING (doc_id, phrase)) GROUP BY 1),
+measured AS (
+  SELECT doc_id, source, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+         CAST(len(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))
+              - len(list_distinct(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))) AS BIGINT) AS n_dup_lines,
+         coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM words LEFT JOIN repeated USING (doc_id)),
+judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM measured),
+hosts AS (SELECT source, count(*) AS n, count(*) FILTER (base_failed) AS f FROM judged GROUP BY 1),
+moments AS (SELECT avg(f / n) AS m, var_pop(f / n) AS v FROM hosts),
+prior AS (SELECT m, CASE WHEN v > 0 AND m * (1 - m) > v THEN m * (1 - m) / v - 1 ELSE 1.0 END AS strength FROM moments),
+verdicts AS (SELECT source, (f + m * strength) / (n + strength) > 0.75 AS rejected FROM hosts, prior)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT rejected AS kept
+FROM judged JOIN verdicts ON judged.source IS NOT DISTINCT FROM verdicts.source
+""")
+def op8_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule measures of every text, and whether it and its source pass."""
+    judged = rules.judge(table(spark, sf_dir, "documents"), F.col("source"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 _MIX_KEY = "-ln((CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':mix'), 1, 12) AS BIGINT)::DOUBLE + 0.5) / 281474976710656.0) / w"
 
 
