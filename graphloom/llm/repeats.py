@@ -31,9 +31,9 @@ from graphloom.llm.common import materialise, parts_for, text_bytes
 
 WIDTH = 50
 TRIGGER = 20
-SLICE = 16 << 20
+SLICE = 6 << 20
 HOT = 64
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 _PIECE = 1 << 19
 _REACH = WIDTH - TRIGGER + 1
 _LAST = np.iinfo(np.int64).max
@@ -279,6 +279,12 @@ def suffix_order(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.n
     return order, _runs(*[k[order] for k in keys])
 
 
+def _once(at: np.ndarray, *keys: np.ndarray) -> np.ndarray:
+    """One of the places ``at`` for each combination of keys there."""
+    order = at[np.lexsort([k[at] for k in keys])]
+    return np.sort(order[_runs(*[k[order] for k in keys])])
+
+
 def dictionary(buckets: int):
     """Function from (doc_id, text, mixed, loose) to phrases by bucket of their trigger, suffixes by their own."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,15 +295,11 @@ def dictionary(buckets: int):
             mixed = _chosen(found, rows.column(2).to_pylist(), n)
             loose = _chosen(found, rows.column(3).to_pylist(), n)
             # a phrase that a text has twice is wanted once
-            once = np.zeros(len(ids), bool)
-            once[np.unique(np.column_stack([ids.view(np.uint64), found.digest]), axis=0, return_index=True)[1] if len(ids) else []] = True
-            mixed &= once
-            loose &= once
-            at = np.flatnonzero(mixed)
+            at = _once(np.flatnonzero(mixed), ids, found.digest)
             place = ((found.trigger[at] >> np.uint64(44)) % np.uint64(buckets)).astype(np.int64)
             yield from _send(part.data, place, ids[at], found.digest[at], np.zeros(len(at), np.int64), found.first[at],
                              found.last[at] - found.first[at] + WIDTH)
-            at = np.flatnonzero(loose)
+            at = _once(np.flatnonzero(loose), ids, found.digest)
             if not len(at):
                 continue
             many = found.last[at] - found.first[at] + 1
