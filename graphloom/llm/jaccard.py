@@ -300,8 +300,9 @@ def links(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", thre
     buckets = (placed.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
         .where("size > 1").groupBy("size", "x", "y").agg(F.min("bucket").alias("bucket")))
-    candidates = (placed.join(buckets.select("bucket", "size"), "bucket")
-                  .join(nodes.select("node", "sig"), "node"))
+    # both sides of these joins grow with the input, so none is broadcast, however small it is today
+    candidates = (placed.join(buckets.select("bucket", "size").hint("merge"), "bucket")
+                  .join(nodes.select("node", "sig").hint("merge"), "node"))
     compared = in_blocks(candidates, ["bucket"], F.ceil(F.col("size") / BLOCK_NODES), "node").select(
         "bucket", "lo", "hi", "block", "node", "sig")
     near = compared.mapInArrow(pruned(least_matches(threshold), STEP), "a long, b long")
@@ -310,7 +311,7 @@ def links(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", thre
 
     sizes = clusters.groupBy("root").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("total"))
     blocks = F.ceil(F.greatest(F.col("size") / BLOCK_NODES, F.col("total") / BLOCK_SHINGLES))
-    wanted = clusters.join(sizes, "root")
+    wanted = clusters.join(sizes, "root").hint("merge")
     texts = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["least_id"])).select(
         "text", "node", "root", "copies", "size", "total")
     sets = texts.mapInArrow(shingled, "node long, root long, copies long, size long, total long, sets binary")
