@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from graphloom.llm import words as W
 from graphloom.llm.common import materialise
@@ -119,7 +119,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc
     ).select("doc_id", "n_words", _united("all").alias("hits"), "items")
 
 
-@F.udf("binary")
+@F.udf(T.BinaryType())
 def _united(marks):
     if not marks:
         return b""
@@ -146,8 +146,10 @@ def remove_spans(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_
     return joined.withColumn(text, clean).select(documents.columns)
 
 
-@F.udf("string")
+@F.udf(T.StringType())
 def _without(text, hits):
+    if not text or not hits:
+        return text
     data = np.frombuffer(text.encode(), np.uint8)
     found = W.words(W.LOWER[data], np.array([0, len(data)]), W.ALNUM)
     mark = np.frombuffer(hits, np.uint8).astype(bool)
