@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -24,16 +25,20 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "gra
     )
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can read: ``spark.checkpoint.dir``, or a temporary one in local mode."""
+    """Folder every executor can read: ``spark.checkpoint.dir``, or in local mode without it one temporary folder."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    folder = tempfile.mkdtemp(prefix="graphloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="graphloom-")
+    return _local_folders[context.applicationId]
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
