@@ -49,17 +49,3 @@ def ascii_json(text: Column) -> Column:
 
     escaped = F.array_join(F.transform(F.split(text, ""), escape), "")
     return F.when(F.octet_length(text) == F.length(text), text).otherwise(escaped)
-
-
-def json_string(text: Column) -> Column:
-    """``text`` as a JSON string literal."""
-    array = F.to_json(F.array(text))
-    return F.substring(array, F.lit(2), F.length(array) - 2)
-
-
-def json_object(**members: Column) -> Column:
-    """JSON object text with sorted keys and no spaces from already encoded members."""
-    parts: list[Column] = []
-    for position, name in enumerate(sorted(members)):
-        parts += [F.lit(f'{"," if position else "{"}"{name}":'), members[name]]
-    return F.concat(*parts, F.lit("}"))

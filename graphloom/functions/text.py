@@ -18,11 +18,6 @@ def line_count(content: Column) -> Column:
     return (breaks + unterminated.cast("int")).cast("int")
 
 
-def lossy_text(content: Column) -> Column:
-    """UTF-8 text with undecodable bytes replaced."""
-    return content.cast("string")
-
-
 def event_time(text: Column) -> Column:
     """Timestamp of an ISO-8601 string; NULL instead of an error when it is malformed."""
     return F.try_to_timestamp(text)

@@ -61,7 +61,7 @@ def placeholders(nodes: DataFrame, edges: DataFrame, key: str, source: str, targ
     """Endpoints of ``edges`` that are no known node. Each side is made distinct before the shuffle
     that joins them, so an endpoint with very many edges costs one row per task."""
     ends = edges.select(F.col(source).alias(key)).unionByName(
-        edges.select(F.col(target).alias(key))).distinct()
+        edges.select(F.col(target).alias(key))).filter(F.col(key).isNotNull()).distinct()
     return missing_from(ends, nodes, [key])
 
 

@@ -255,9 +255,10 @@ def verify_idempotency(nodes: DataFrame, edges: DataFrame, documents: DataFrame,
 
 def exact_state(expected_nodes: DataFrame, expected_edges: DataFrame, nodes: DataFrame, edges: DataFrame,
                 documents: DataFrame, file_id: str, content_sha256: str, expected_documents: int,
-                minimum_offset: int | None = None) -> DataFrame:
+                minimum_offset: int | None = None, minimum_revision: int | None = None) -> DataFrame:
     """State of one file in all sinks against a fresh extraction: exact id sets, one document with
-    the right hash, the number of documents, and an offset that moved on."""
+    the right hash, the number of documents, and a log position that moved on: the offset of a foreign
+    log, the revision of one of our own, whose offsets start anew with each revision."""
     def sets(expected: DataFrame, actual: DataFrame, key: str, name: str) -> list[DataFrame]:
         mine = actual.filter(F.col("file_id") == file_id)
         return [
@@ -274,7 +275,8 @@ def exact_state(expected_nodes: DataFrame, expected_edges: DataFrame, nodes: Dat
         F.count_if(mine).alias("count_by_id"),
         F.count_if(F.col("file_id") == file_id).alias("count_by_file_id"),
         F.max(F.when(mine, F.col("content_sha256"))).alias("stored_sha256"),
-        F.max(F.when(mine, F.col("kafka_offset"))).alias("stored_offset"))
+        F.max(F.when(mine, F.col("kafka_offset"))).alias("stored_offset"),
+        F.max(F.when(mine, F.col("revision_seq"))).alias("stored_revision"))
     report = one_row(
         *sets(expected_nodes, nodes, "node_id", "node"),
         *sets(expected_edges, edges, "edge_id", "edge"), stored)
@@ -286,6 +288,10 @@ def exact_state(expected_nodes: DataFrame, expected_edges: DataFrame, nodes: Dat
     if minimum_offset is not None:
         problems.append(problem(
             F.col("stored_offset") < minimum_offset, f"offset is below {minimum_offset}"))
+    if minimum_revision is not None:
+        problems.append(problem(
+            F.coalesce(F.col("stored_revision") < minimum_revision, F.lit(True)),
+            f"revision is below {minimum_revision}"))
     return verdict(report, problems)
 
 

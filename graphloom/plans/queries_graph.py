@@ -504,9 +504,17 @@ def source_breakdown(spark, sf_dir):
     return checks.breakdown(graph.nodes(flat), F.col("node_type"))
 
 
-@query()
+@query(f"""
+    with d as (select doc_id, length(text) - length(replace(text, chr(10), '')) as n from documents),
+    f as (select sha256('{REPOSITORY}:raw/' || doc_id || '.py') as file_id, 'raw/' || doc_id || '.py' as path,
+                 sha256(repeat('x = 1' || chr(10), n) || '?') as content_sha256, (n + 1)::int as lineno,
+                 'invalid syntax (' || doc_id || '.py, line ' || (n + 1) || ')' as error_message from d)
+    select path, file_id, content_sha256, sha256(file_id || ':SyntaxError:' || lineno || ':1:' || error_message) as error_id,
+           'SyntaxError' as error_type, error_message, lineno, 1 as col_offset from f""")
 def source_errors(spark, sf_dir):
-    """Documents taken as Python as they are: nearly all fail, each with its own error."""
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    """Files with as many lines as each document has line ends, and then one that no parser takes."""
+    breaks = F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit("")))
+    documents = table(spark, sf_dir, "documents").select(
+        "doc_id", F.concat(F.repeat(F.lit("x = 1\n"), breaks), F.lit("?")).alias("text"))
     flat = syntax_rows(derived.text_files(documents, REPOSITORY, "raw", "doc_id", "text"))
     return errors(flat).drop("repository")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,9 +16,6 @@ from pyspark.sql import types as T
 from graphloom import contract as C
 from graphloom.operators.sequence import first_by_group
 
-# An offset is made of the revision number, the writing task and the row in that task.
-_TASK_BITS, _ROW_BITS = 18, 26
-
 
 def topic_of(category: Column) -> Column:
     """Topic of a category; an unknown category is fatal."""
@@ -27,21 +25,13 @@ def topic_of(category: Column) -> Column:
 
 
 def log_records(feed: DataFrame, revision_seq: int, partitions: int = 1) -> DataFrame:
-    """Feed rows as log records. Offsets grow with the revision and, within it, by file, event order
-    and position; they may have gaps. Records of one key always share a partition.
+    """Feed rows as log records, in order of their revision and, within it, of their offset.
 
-    The feed is sorted by ranges, so a file with very many events spreads over many tasks. Sorting
-    reads the sort columns of the feed once more: give it as a written table.
+    Offsets hold among the records of one key, which share a task: they follow event order and position, start
+    anew with each revision and have gaps. Nothing is sorted across tasks.
     """
-    ordered = feed.orderBy("file_id", "op_rank", "ord")
-    task = F.shiftright(F.col("_id"), 33)
-    row = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
-    fits = (task < (1 << _TASK_BITS)) & (row < (1 << _ROW_BITS))
-    local = F.when(fits, F.shiftleft(task, _ROW_BITS) + row).otherwise(
-        F.raise_error(F.lit("a revision has too many records for its offset range")).cast("long"))
-    base = F.lit(revision_seq << (_TASK_BITS + _ROW_BITS)).cast("long")
-    numbered = ordered.withColumn("_id", F.monotonically_increasing_id()).withColumn(
-        "offset", base + local)
+    numbered = feed.repartition("key").sortWithinPartitions("key", "op_rank", "ord").withColumn(
+        "offset", F.monotonically_increasing_id())
     return numbered.select(
         "key", "value", topic_of(F.col("category")).alias("topic"),
         F.pmod(F.xxhash64("key"), F.lit(partitions)).cast("int").alias("partition"), "offset",
@@ -50,12 +40,12 @@ def log_records(feed: DataFrame, revision_seq: int, partitions: int = 1) -> Data
 
 
 def publish(feed: DataFrame, target: str, revision_seq: int, partitions: int = 1) -> None:
-    """Append one revision to a folder log. Writing the same revision again replaces it, and it
-    becomes visible only when the whole write has committed."""
-    revision = log_records(feed, revision_seq, partitions)
+    """Append one revision to a folder log. Writing the same revision again replaces all of its topics,
+    and it becomes visible only when the whole write has committed."""
+    revision = log_records(feed, revision_seq, partitions).drop("revision_seq")
     (
-        revision.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("topic", "revision_seq").parquet(target)
+        revision.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        .partitionBy("topic").parquet(f"{target}/revision_seq={revision_seq}")
     )
 
 
@@ -100,7 +90,7 @@ def stream_log(spark: SparkSession, location: str, topic: str, kafka: bool = Fal
 
 def first_records(log: DataFrame) -> DataFrame:
     """The first record of each topic as ``key | value``."""
-    return first_by_group(log, ["topic"], ["partition", "offset"]).select(
+    return first_by_group(log, ["topic"], ["revision_seq", "partition", "offset"]).select(
         "topic", F.concat_ws(" | ", "key", "value").alias("record"))
 
 
@@ -126,32 +116,49 @@ def require_valid(events: DataFrame) -> DataFrame:
         F.raise_error(F.concat(F.lit("not JSON: "), bad)).cast("string"))).drop("_corrupt_record")
 
 
+def _line_place() -> Column:
+    """Text that sorts the lines of text files by file and place in it."""
+    padded = lambda number: F.lpad(number.cast("string"), 20, "0")
+    return F.concat_ws(":", F.col("_metadata.file_path"), padded(F.col("_metadata.file_block_start")),
+                       padded(F.monotonically_increasing_id()))
+
+
 def replay_dumps(spark: SparkSession, folder: str, categories: Sequence[str] = tuple(C.CATEGORIES),
                  partitioned: bool = False) -> DataFrame:
     """JSONL dumps as feed rows, keyed per category; only the named categories. ``partitioned``
-    reads the layout of ``write_dump`` instead of one file per category."""
+    reads the layout of ``write_dump`` instead of one file per category. Events of one key keep the
+    order of their lines; a category without a dump has no events."""
     unknown = [name for name in categories if name not in C.CATEGORIES]
     if unknown:
         raise ValueError(f"no such categories: {unknown}; known are {list(C.CATEGORIES)}")
     feed = None
     for category in categories:
         name = f"category={category}" if partitioned else C.CATEGORIES[category][2]
-        lines = spark.read.text(f"{folder}/{name}").filter(F.trim("value") != "")
+        try:
+            read = spark.read.text(f"{folder}/{name}")
+        except AnalysisException as problem:        # nothing of this category was dumped
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        lines = read.select("value", _line_place().alias("ord")).filter(F.trim("value") != "")
         parsed = lines.withColumn("_json", F.parse_json("value"))
         member = lambda name: F.variant_get("_json", f"$.{name}", "string")
         part = parsed.select(
             F.lit(category).alias("category"), member(C.KEYS[category]).alias("key"), "value",
             member("file_id").alias("file_id"), member("event_type").alias("event_type"),
-            F.lit(0).alias("op_rank"), F.lit("").alias("ord"))
+            F.lit(0).alias("op_rank"), "ord")
         feed = part if feed is None else feed.unionByName(part)
+    if feed is None:
+        raise FileNotFoundError(f"{folder} holds none of {list(categories)}")
     return feed
 
 
 def sample_events(spark: SparkSession, location: str, category: str) -> DataFrame:
-    """Sample files, each with one JSON event in any layout, as feed rows with their key."""
-    texts = spark.read.text(location, wholetext=True).withColumn("_json", F.parse_json("value"))
+    """Sample files, each with one JSON event in any layout, as feed rows with their key, ordered by path."""
+    texts = spark.read.text(location, wholetext=True).select(
+        "value", F.col("_metadata.file_path").alias("ord")).withColumn("_json", F.parse_json("value"))
     member = lambda name: F.variant_get("_json", f"$.{name}", "string")
     return texts.select(
         F.lit(category).alias("category"), member(C.KEYS[category]).alias("key"),
         F.to_json("_json").alias("value"), member("file_id").alias("file_id"),
-        member("event_type").alias("event_type"), F.lit(0).alias("op_rank"), F.lit("").alias("ord"))
+        member("event_type").alias("event_type"), F.lit(0).alias("op_rank"), "ord")

@@ -19,7 +19,8 @@ from graphloom.functions import text
 from graphloom.operators import changes
 from graphloom.operators.sequence import latest_by_key
 
-DOCUMENT_ORDER = ("kafka_offset",)
+# a foreign log has no revision numbers: its offsets alone decide
+DOCUMENT_ORDER = ("revision_seq", "kafka_offset")
 GRAPH_ORDER = ("revision_seq", "offset")
 _PARTITION = ("run_id", "batch_id")
 
@@ -40,6 +41,9 @@ def accepted(category: str) -> Column:
         & (F.col("event.schema_version") == C.SCHEMA_VERSION)
         & F.col("event.file_id").isNotNull() & F.col(f"event.{C.KEYS[category]}").isNotNull()
     )
+    if category == "edge":
+        ends = F.col("event.source_id").isNotNull() & F.col("event.target_id").isNotNull()
+        ok = ok & (ends | (F.col("event.event_type") == C.EDGE_DELETE))
     return F.coalesce(ok, F.lit(False))
 
 
@@ -57,19 +61,20 @@ def documents(log: DataFrame) -> DataFrame:
         .select(
             F.col("event.file_id").alias("_id"), "event.*", F.col("topic").alias("kafka_topic"),
             F.col("partition").alias("kafka_partition"), F.col("offset").alias("kafka_offset"),
-            F.col("timestamp").alias("kafka_timestamp"))
+            F.col("timestamp").alias("kafka_timestamp"), "revision_seq")
         .withColumn("event_time_utc", text.event_time(F.col("event_time")))
         .withColumn("processed_at", F.current_timestamp())
     )
 
 
 def graph_changes(log: DataFrame, category: str) -> DataFrame:
-    """Node or edge records as changes with the stored columns and their log position. Records of a
-    foreign log have no revision number; their event time stands in for it."""
+    """Node or edge records as changes with the stored columns and their log position, which orders the changes of
+    one key. ``changed_at`` compares changes across topics; on a foreign log, which has no revision numbers, it is the
+    event time."""
     sequence = F.coalesce(F.col("revision_seq"), F.unix_micros(text.event_time(F.col("event.event_time"))))
     return (
         decode_events(log, category).filter(accepted(category))
-        .select("event.*", sequence.alias("revision_seq"), "offset")
+        .select("event.*", "revision_seq", "offset", sequence.alias("changed_at"))
         .withColumnRenamed("properties", "properties_json").drop("repository")
     )
 
@@ -146,9 +151,12 @@ def current_documents(spark: SparkSession, target: str) -> DataFrame:
 
 
 def recent_errors(spark: SparkSession, target: str, now: Column | None = None) -> DataFrame:
-    """Stored parser errors that are still within their retention time."""
-    timed = stored(spark, target).withColumn("_time", text.event_time(F.col("event_time")))
-    return changes.retain(timed, "_time", F.current_timestamp() if now is None else now).drop("_time")
+    """Stored parser errors that are still within their retention time, by the time of their log record; a record
+    without one goes by its event time, and with neither it stays."""
+    now = F.current_timestamp() if now is None else now
+    timed = stored(spark, target).withColumn(
+        "_time", F.coalesce("log_time", text.event_time(F.col("event_time")), now))
+    return changes.retain(timed, "_time", now).drop("_time")
 
 
 def current_nodes(changes_log: DataFrame) -> DataFrame:
@@ -163,9 +171,10 @@ def current_edges(changes_log: DataFrame, node_changes: DataFrame | None = None)
         changes_log, "edge_id", GRAPH_ORDER, F.col("event_type") == C.EDGE_DELETE).drop("event_type")
     if node_changes is None:
         return edges
+    order = "changed_at" if "changed_at" in node_changes.columns else "revision_seq"
     deletes = changes.last_deletes(
-        node_changes, "node_id", "revision_seq", F.col("event_type") == C.NODE_DELETE)
-    return changes.detach(edges, deletes, "node_id", "source_id", "target_id", "revision_seq")
+        node_changes, "node_id", order, F.col("event_type") == C.NODE_DELETE)
+    return changes.detach(edges, deletes, "node_id", "source_id", "target_id", order)
 
 
 def graph_view(spark: SparkSession, nodes_at: str, edges_at: str) -> tuple[DataFrame, DataFrame]:

@@ -30,13 +30,25 @@ def test_revision_diff_and_order(spark, files_of, tmp_path):
     assert counts(feed) == {
         C.EDGE_DELETE: 7, C.NODE_DELETE: 5, C.NODE_UPSERT: 5, C.EDGE_UPSERT: 4,
         C.FILE_METADATA_UPSERT: 1}
-    records = spark.read.parquet(at.log).filter("revision_seq = 2").orderBy("offset").collect()
+    records = feed.orderBy("op_rank", "ord").collect()
     kinds = [json.loads(r.value)["event_type"] for r in records]
     assert kinds == sorted(kinds, key=[
         C.EDGE_DELETE, C.NODE_DELETE, C.NODE_UPSERT, C.EDGE_UPSERT, C.FILE_METADATA_UPSERT].index)
     events = [json.loads(r.value) for r in records]
     deleted = [e["edge_id"] for e in events if e["event_type"] == C.EDGE_DELETE]
     assert deleted == sorted(deleted)
+    # the log keeps that order for each key
+    logged = spark.read.parquet(at.log).filter("revision_seq = 2")
+    assert logged.count() == len(records)
+    by_key = {}
+    for r in logged.orderBy("offset").collect():
+        by_key.setdefault(r.key, []).append(json.loads(r.value)["event_type"])
+    assert {k: [json.loads(r.value)["event_type"] for r in records if r.key == k] for k in by_key} == by_key
+
+    # publishing it again with fewer topics leaves none of the others behind
+    logs.publish(feed.filter("category = 'node'"), str(tmp_path / "again"), 1)
+    logs.publish(feed.filter("category = 'edge'"), str(tmp_path / "again"), 1)
+    assert {r.topic for r in spark.read.parquet(str(tmp_path / "again")).select("topic").collect()} == {"cpg.edges"}
     sha = extraction.files.first().content_sha256
     assert {e["content_sha256"] for e in events} == {sha}           # deletes carry the new hash
     assert len({e["event_time"] for e in events}) == 1
@@ -97,7 +109,6 @@ def snapshot(documents):
 def test_five_phase_replay(spark, files_of, deployment):
     at, path = deployment, "F2.py"
     original, modified = CORPUS[path], CORPUS[path] + MARKER
-    offset = None
     counted = {}
     # 1 baseline, 2 unchanged replay, 3 modified, 5 restored
     for phase, (revision, text) in enumerate(
@@ -110,9 +121,8 @@ def test_five_phase_replay(spark, files_of, deployment):
         nodes, edges, documents = state_of(spark, at)
         report = checks.exact_state(
             extraction.nodes, extraction.edges, nodes, edges, documents, file.file_id,
-            file.content_sha256, len(CORPUS), None if offset is None else offset + 1).first()
+            file.content_sha256, len(CORPUS), minimum_revision=revision).first()
         assert report.status == "PASS", (phase, report.mismatches)
-        offset = report.stored_offset
         total = checks.graph_snapshot(nodes, edges).first()
         assert total.placeholder_nodes == 0
         assert total.total_nodes == total.distinct_node_ids
@@ -261,7 +271,10 @@ def test_error_stream_and_report(spark, files_of, tmp_path):
     run_batch(spark, files_of({"c.py": "x = = 1\n"}), at, 2)
     drain(spark, at)
     assert sinks.stored(spark, at.table("error")).count() == 2
-    assert [r.path for r in sinks.recent_errors(spark, at.table("error")).collect()] == ["c.py"]
+    # retention goes by the time of the log record, not by the time that the event tells
+    assert {r.path for r in sinks.recent_errors(spark, at.table("error")).collect()} == {"a.py", "c.py"}
+    later = F.current_timestamp() + F.expr("interval 8 days")
+    assert sinks.recent_errors(spark, at.table("error"), later).count() == 0
     nodes, edges, documents = state_of(spark, at)
     assert {(r.path, r.status) for r in documents.collect()} == {
         ("a.py", "FAILED"), ("b.py", "PARSED"), ("c.py", "FAILED")}
