@@ -31,7 +31,7 @@ from graphloom.llm.common import materialise, parts_for, text_bytes
 
 WIDTH = 50
 TRIGGER = 20
-SLICE = 6 << 20
+SLICE = 4 << 20
 HOT = 64
 BUCKET_BYTES = 8 << 20
 _PIECE = 1 << 19

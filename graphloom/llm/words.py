@@ -13,7 +13,8 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
+_ROWS = 4096
 
 _BYTES = np.arange(256)
 LOWER = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES).astype(np.uint8)
@@ -84,13 +85,15 @@ class Slice(NamedTuple):
 
 def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[Slice]:
     """Rows of a text column in slices of about ``limit`` bytes; a longer row is alone. Null is empty."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
+    for first in range(0, len(column), _ROWS):
+        for part in _sliced(column.slice(first, _ROWS), limit):
+            yield part._replace(first=part.first + first)
+
+
+def _sliced(column: pa.Array, limit: int) -> Iterator[Slice]:
     if column.null_count:
         column = column.fill_null("")
     column = column.cast(pa.large_binary())
-    if not len(column):
-        return
     _, where, values = column.buffers()
     offsets = np.frombuffer(where, np.int64)[column.offset:column.offset + len(column) + 1]
     data = np.frombuffer(values, np.uint8) if values is not None else np.empty(0, np.uint8)
