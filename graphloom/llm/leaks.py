@@ -98,8 +98,8 @@ def contamination(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc
     """(doc_id, n_words, hits, items) per document row: ``hits`` is empty, or has a 1 for each hit word.
 
     Null and empty texts have no words and no hits; items without words are never found; an empty benchmark
-    gives documents without hits. Rows that repeat a doc_id are rows of their own as long as one block holds
-    the benchmark, and one row with equal texts' hits united beyond it. Other columns are ignored.
+    gives documents without hits. Rows that repeat a doc_id are rows of their own, however many blocks the benchmark
+    takes. Other columns are ignored.
     """
     spark = documents.sparkSession
     windows = materialise(test_windows(benchmark, item_id, item_text, window), "test-windows")
@@ -107,16 +107,20 @@ def contamination(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc
     if total <= block_windows:
         return scan(documents, [tuple(r) for r in windows.collect()], doc_id, text)
     blocks = -(-total // block_windows) * 2
+    # the blocks' hits meet again by row: ids may repeat
+    rows = materialise(documents.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"),
+                                        F.col(text).cast("string").alias("text")), "scanned")
     found = None
     for block in range(blocks):
-        part = windows.where(F.pmod(F.xxhash64("words"), F.lit(blocks)) == block)
-        hits = scan(documents, [tuple(r) for r in part.collect()], doc_id, text)
+        # by item too, as any number of items can share a phrase
+        part = windows.where(F.pmod(F.xxhash64("item_id", "words"), F.lit(blocks)) == block)
+        hits = scan(rows, [tuple(r) for r in part.collect()], "row", "text")
         found = hits if found is None else found.unionByName(hits)
     # one byte a word, 0 or 1: the union of equally long marks is the greatest byte at each place
-    return found.groupBy("doc_id", "n_words").agg(
+    united = found.groupBy(F.col("doc_id").alias("row"), "n_words").agg(
         F.collect_list(F.when(F.octet_length("hits") > 0, F.col("hits"))).alias("all"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-    ).select("doc_id", "n_words", _united("all").alias("hits"), "items")
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    return rows.select("row", "doc_id").join(united, "row").select("doc_id", "n_words", _united("all").alias("hits"), "items")
 
 
 @F.udf(T.BinaryType())
