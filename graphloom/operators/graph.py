@@ -66,8 +66,9 @@ def nodes(flat: DataFrame) -> DataFrame:
 
 
 def edges_of(df: DataFrame, edge_type: str, source: Column, target: Column, properties: Column,
-             rank: int, position: Column) -> DataFrame:
-    """Edge rows with their ids. ``ord`` keeps the kinds in order, then source order."""
+             rank: int, position: Column, loops: bool = True) -> DataFrame:
+    """Edge rows with their ids. ``ord`` keeps the kinds in order, then source order. Self loops are left out;
+    without ``loops`` there can be none, so that readers which need no ids never compute any."""
     shaped = df.select(
         *ENVELOPE, F.lit(edge_type).alias("edge_type"), source.alias("source_id"),
         target.alias("target_id"), properties.alias("properties"),
@@ -75,8 +76,8 @@ def edges_of(df: DataFrame, edge_type: str, source: Column, target: Column, prop
     )
     identity = ids.edge_id(*(F.col(n) for n in (
         "file_id", "edge_type", "source_id", "target_id", "properties")))
-    return shaped.filter(F.col("source_id") != F.col("target_id")).withColumn(
-        "edge_id", identity).select(*EDGE_COLUMNS)
+    kept = shaped.filter(F.col("source_id") != F.col("target_id")) if loops else shaped
+    return kept.withColumn("edge_id", identity).select(*EDGE_COLUMNS)
 
 
 def ast_edges(flat: DataFrame) -> DataFrame:
@@ -85,7 +86,7 @@ def ast_edges(flat: DataFrame) -> DataFrame:
     properties = F.concat(F.lit('{"field":'), quoted(F.col("field")), index, F.lit("}"))
     parent = ids.node_id(F.col("file_id"), F.col("parent_path"), F.col("parent_type"))
     return edges_of(flat.filter("parent_pos is not null"), "AST", parent, node_id_column(),
-                    properties, 0, F.col("pos"))
+                    properties, 0, F.col("pos"), loops=False)
 
 
 def _labelled(name: Column) -> Column:
@@ -116,7 +117,7 @@ def entry_edges(flat: DataFrame) -> DataFrame:
     firsts = flat.filter(F.col("owners").isNotNull() & (F.col("index") == 0)).withColumn(
         "_label", name).filter("_label is not null")
     return edges_of(firsts, "CFG", source, node_id_column(), _labelled(F.col("_label")), 1,
-                    F.col("parent_pos"))
+                    F.col("parent_pos"), loops=False)
 
 
 def file_rows(flat: DataFrame) -> DataFrame:

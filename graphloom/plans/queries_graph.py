@@ -10,7 +10,7 @@ from graphloom.functions import ids
 from graphloom.operators import checks, graph, names, sequence
 from graphloom.plans import derived
 from graphloom.plans.catalog import REPOSITORY, query, table
-from graphloom.plans.extract import edges_of_syntax, errors, extract, syntax_rows
+from graphloom.plans.extract import edges_of_syntax, errors, file_metadata, syntax_rows
 from graphloom.session import materialise
 
 # --- tree: region -> nation -> customer -> order -> line -----------------------------------
@@ -376,7 +376,7 @@ def _text_sql(text: str) -> str:
            calls::bigint as call_edge_count, 'PARSED' as status
     from texts""")
 def source_metadata(spark, sf_dir):
-    found = extract(_order_files(spark, sf_dir)).metadata
+    found = file_metadata(_order_files(spark, sf_dir))
     return found.select("file_id", "path", "content_sha256", "size_bytes", "status", *(
         F.col(n).cast("long").alias(n) for n in ("line_count", *C.COUNT_FIELDS)))
 
@@ -474,6 +474,58 @@ def source_edges(spark, sf_dir):
         "file_id", "edge_type", "source_id", "target_id", "properties", "edge_id")
 
 
+# Path, type, label, four places, code and properties of every node of derived.BOX; kl and cl are the lengths of the
+# row's two numbers.
+_SHOWN = (
+    ("root", "Module", "Module", 0, 0, 0, 0, "class Box{key}:\n    size = {other}\n\n    def grow(self, by={key}):\n        return self.size + by\nBox{key}().grow('{key}')", "{}"),
+    ("root.body[0]", "ClassDef", "ClassDef:Box{key}", 1, 0, 4, 29, "class Box{key}:\n    size = {other}\n    def grow(self, by={key}):\n        return self.size + by", '{"name":"Box{key}"}'),
+    ("root.body[0].body[0]", "Assign", "Assign", 2, 4, 2, "11 + cl", "size = {other}", "{}"),
+    ("root.body[0].body[0].targets[0]", "Name", "Name:size", 2, 4, 2, 8, "size", '{"ctx":"Store","id":"size"}'),
+    ("root.body[0].body[0].targets[0].ctx", "Store", "Store", 0, 0, 0, 0, "", "{}"),
+    ("root.body[0].body[0].value", "Constant", "Constant:{other}", 2, 11, 2, "11 + cl", "{other}", '{"value":"{other}"}'),
+    ("root.body[0].body[1]", "FunctionDef", "FunctionDef:grow", 3, 4, 4, 29, "def grow(self, by={key}):\n        return self.size + by", '{"args":["self","by"],"name":"grow"}'),
+    ("root.body[0].body[1].args", "arguments", "arguments", 0, 0, 0, 0, "self, by={key}", "{}"),
+    ("root.body[0].body[1].args.args[0]", "arg", "arg:self", 3, 13, 3, 17, "self", '{"arg":"self"}'),
+    ("root.body[0].body[1].args.args[1]", "arg", "arg:by", 3, 19, 3, 21, "by", '{"arg":"by"}'),
+    ("root.body[0].body[1].args.defaults[0]", "Constant", "Constant:{key}", 3, 22, 3, "22 + kl", "{key}", '{"value":"{key}"}'),
+    ("root.body[0].body[1].body[0]", "Return", "Return", 4, 8, 4, 29, "return self.size + by", "{}"),
+    ("root.body[0].body[1].body[0].value", "BinOp", "BinOp", 4, 15, 4, 29, "self.size + by", "{}"),
+    ("root.body[0].body[1].body[0].value.left", "Attribute", "Attribute:size", 4, 15, 4, 24, "self.size", '{"attr":"size"}'),
+    ("root.body[0].body[1].body[0].value.left.value", "Name", "Name:self", 4, 15, 4, 19, "self", '{"ctx":"Load","id":"self"}'),
+    ("root.body[0].body[1].body[0].value.left.value.ctx", "Load", "Load", 0, 0, 0, 0, "", "{}"),
+    ("root.body[0].body[1].body[0].value.left.ctx", "Load", "Load", 0, 0, 0, 0, "", "{}"),
+    ("root.body[0].body[1].body[0].value.op", "Add", "Add", 0, 0, 0, 0, "", "{}"),
+    ("root.body[0].body[1].body[0].value.right", "Name", "Name:by", 4, 27, 4, 29, "by", '{"ctx":"Load","id":"by"}'),
+    ("root.body[0].body[1].body[0].value.right.ctx", "Load", "Load", 0, 0, 0, 0, "", "{}"),
+    ("root.body[1]", "Expr", "Expr", 5, 0, 5, "14 + 2 * kl", 'Box{key}().grow("{key}")', "{}"),
+    ("root.body[1].value", "Call", "Call:<dynamic>.grow", 5, 0, 5, "14 + 2 * kl", 'Box{key}().grow("{key}")', "{}"),
+    ("root.body[1].value.func", "Attribute", "Attribute:grow", 5, 0, 5, "10 + kl", "Box{key}().grow", '{"attr":"grow"}'),
+    ("root.body[1].value.func.value", "Call", "Call:Box{key}", 5, 0, 5, "5 + kl", "Box{key}()", "{}"),
+    ("root.body[1].value.func.value.func", "Name", "Name:Box{key}", 5, 0, 5, "3 + kl", "Box{key}", '{"ctx":"Load","id":"Box{key}"}'),
+    ("root.body[1].value.func.value.func.ctx", "Load", "Load", 0, 0, 0, 0, "", "{}"),
+    ("root.body[1].value.func.ctx", "Load", "Load", 0, 0, 0, 0, "", "{}"),
+    ("root.body[1].value.args[0]", "Constant", "Constant:{key}", 5, "11 + kl", 5, "13 + 2 * kl", '"{key}"', '{"value":"{key}"}'),
+)
+_SHOWN_NAMES = ("structural_path", "node_type", "label", "lineno", "col_offset", "end_lineno", "end_col_offset", "code", "properties")
+_SHOWN_SQL = ", ".join("{" + ", ".join(
+    f"'{name}': " + (f"({value})::int" if 2 < i < 7 else _text_sql(value)) for i, (name, value) in enumerate(zip(_SHOWN_NAMES, row, strict=True))
+) + "}" for row in _SHOWN)
+
+
+@query(f"""
+    with rows as (
+        select c_custkey as k, c_nationkey as c, length(c_custkey::varchar) as kl, length(c_nationkey::varchar) as cl,
+               sha256('{REPOSITORY}:boxes/' || c_custkey || '.py') as file_id from customer),
+    n as (select file_id, unnest([{_SHOWN_SQL}], recursive := true) from rows)
+    select *, sha256(file_id || ':' || structural_path || ':' || node_type) as node_id from n""")
+def source_nodes(spark, sf_dir):
+    """Every stored column of every node: label, properties, code and places."""
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    files = derived.text_files(
+        derived.filled(customers, derived.BOX, "c_custkey", "c_nationkey", "text"), REPOSITORY, "boxes", "c_custkey", "text")
+    return graph.nodes(syntax_rows(files)).select("file_id", "node_id", *_SHOWN_NAMES)
+
+
 _LITERAL_SQL = f"""
     select doc_id, text, lang, sha256('{REPOSITORY}:texts/' || doc_id || '.py') as f from documents"""
 
