@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from graphloom import contract as C
-from graphloom.functions import ids
+from graphloom.functions import ids, text
 from graphloom.operators import changes, checks, feed, sequence
 from graphloom.plans import derived
 from graphloom.plans.catalog import REPOSITORY, query, table
@@ -276,10 +276,10 @@ def _metadata_log(spark, sf_dir):
         F.lit(REPOSITORY).alias("repository"), user.alias("path"),
         ids.sha256(F.col("props")).alias("content_sha256"),
         F.get_json_object("props", "$.k").cast("int").alias("line_count"))
-    text = F.to_json(event)
+    shown = F.to_json(event)
     return events.select(
         ids.file_id(F.lit(REPOSITORY), user).alias("key"),
-        F.when(F.col("event_type") == "error", F.substring(text, 1, 60)).otherwise(text).alias("value"),
+        F.when(F.col("event_type") == "error", F.substring(shown, 1, 60)).otherwise(shown).alias("value"),
         F.lit(C.TOPICS["metadata"]).alias("topic"), F.lit(0).alias("partition"),
         F.col("event_id").alias("offset"), F.lit(None).cast("timestamp").alias("timestamp"),
         F.col("event_id").alias("revision_seq"))
@@ -310,20 +310,113 @@ def _run_folder(spark) -> str:
     return f"{shared_folder(spark)}/run-{uuid.uuid4().hex}"
 
 
-@query(_DOCUMENT_SQL + " qualify row_number() over (partition by user_id order by event_id desc) = 1")
-def stream_upsert(spark, sf_dir):
-    """Metadata stream end to end: log folder -> micro-batches -> keyed table -> current documents."""
-    at = _run_folder(spark)
-    _metadata_log(spark, sf_dir).write.parquet(f"{at}/log")
+LOG_FILES = 4
+
+
+def _write_log(records, folder):
+    """A log in several files, so that most keys cross them and a later batch often holds an older record."""
+    records.repartition(LOG_FILES).write.mode("append").parquet(folder)
+
+
+def _with_batches(spark, state, target):
+    """``state`` with the number of runs and batches that its stored table holds."""
+    stored = spark.read.option("basePath", target).parquet(f"{target}/run_id=*")
+    count = lambda name: stored.agg(F.count_distinct(name)).scalar()
+    return state.withColumn("runs", count("run_id")).withColumn("batches", count("batch_id"))
+
+
+def _run_documents(spark, at):
     stream = logs.stream_log(spark, f"{at}/log", C.TOPICS["metadata"], files_per_trigger=1)
     sinks.start_documents(stream, f"{at}/table", f"{at}/checkpoint", None).awaitTermination()
-    return sinks.current_documents(spark, f"{at}/table").select(
+
+
+def _stored_documents(spark, at):
+    return _with_batches(spark, sinks.current_documents(spark, f"{at}/table").select(
         "_id", "content_sha256", F.col("line_count").cast("long").alias("line_count"), "kafka_offset",
-        F.unix_micros("event_time_utc").alias("event_time_us"))
+        F.unix_micros("event_time_utc").alias("event_time_us")), f"{at}/table")
+
+
+_LAST_DOCUMENT_SQL = f"""
+    select *, 1::bigint as runs, {{batches}}::bigint as batches from ({_DOCUMENT_SQL}
+    qualify row_number() over (partition by user_id order by event_id desc) = 1)"""
+
+
+@query(_LAST_DOCUMENT_SQL.format(batches=LOG_FILES))
+def stream_upsert(spark, sf_dir):
+    """Metadata stream end to end, in several batches: log folder -> keyed table -> current documents."""
+    at = _run_folder(spark)
+    _write_log(_metadata_log(spark, sf_dir), f"{at}/log")
+    _run_documents(spark, at)
+    return _stored_documents(spark, at)
+
+
+@query(_LAST_DOCUMENT_SQL.format(batches=2 * LOG_FILES))
+def stream_restart(spark, sf_dir):
+    """The metadata stream run, run again without new input, and run once more after the whole log was published
+    a second time: one run by its checkpoint, and the same documents."""
+    at = _run_folder(spark)
+    records = _metadata_log(spark, sf_dir)
+    _write_log(records, f"{at}/log")
+    _run_documents(spark, at)
+    _run_documents(spark, at)
+    _write_log(records, f"{at}/log")
+    _run_documents(spark, at)
+    return _stored_documents(spark, at)
+
+
+@query(f"""
+    with e as (select * from events where event_type = 'error')
+    select sha256('{REPOSITORY}:' || user_id || ':' || event_id) as error_id, event_id as "offset", 'SyntaxError' as error_type,
+           1::bigint as runs, {LOG_FILES}::bigint as batches
+    from e where ts >= (select max(ts) from e) - interval {C.ERROR_RETENTION_DAYS} days""")
+def stream_errors(spark, sf_dir):
+    """Error stream in several batches; what is older than the retention time at the last record is left out."""
+    at = _run_folder(spark)
+    events = table(spark, sf_dir, "events").filter("event_type = 'error'")
+    user = F.col("user_id").cast("string")
+    key = ids.sha256(F.concat(F.lit(f"{REPOSITORY}:"), user, F.lit(":"), F.col("event_id").cast("string")))
+    event = F.struct(
+        F.lit(C.SCHEMA_VERSION).alias("schema_version"), F.lit(C.PARSER_ERROR).alias("event_type"),
+        F.lit("unknown").alias("event_time"), F.lit(REPOSITORY).alias("repository"),
+        ids.file_id(F.lit(REPOSITORY), user).alias("file_id"), user.alias("path"), F.lit("").alias("content_sha256"),
+        key.alias("error_id"), F.lit("SyntaxError").alias("error_type"), F.col("props").alias("error_message"),
+        F.lit(0).alias("lineno"), F.lit(0).alias("col_offset"))
+    _write_log(events.select(
+        key.alias("key"), F.to_json(event).alias("value"), F.lit(C.TOPICS["error"]).alias("topic"),
+        F.lit(0).alias("partition"), F.col("event_id").alias("offset"), F.col("ts").cast("timestamp").alias("timestamp"),
+        F.lit(None).cast("long").alias("revision_seq")), f"{at}/log")
+    stream = logs.stream_log(spark, f"{at}/log", C.TOPICS["error"], files_per_trigger=1)
+    sinks.start_errors(stream, f"{at}/table", f"{at}/checkpoint", None).awaitTermination()
+    newest = sinks.stored(spark, f"{at}/table").agg(F.max("log_time")).scalar()
+    recent = sinks.recent_errors(spark, f"{at}/table", newest).select("error_id", "offset", "error_type")
+    return _with_batches(spark, recent, f"{at}/table")
+
+
+@query(_DOCUMENT_SQL.replace("event_id as kafka_offset,", "").replace("not in ('error', 'click')", "<> 'error'").replace(
+    "from events", ", event_type = 'click' as rejected from events")
+    + " qualify row_number() over (partition by user_id, event_type = 'click' order by event_id desc) = 1")
+def dump_round_trip(spark, sf_dir):
+    """Several events a key as a dump of one category, replayed into a log: the last of each key in event order, for
+    records that a sink takes and for those that it rejects."""
+    at = _run_folder(spark)
+    whole = _metadata_log(spark, sf_dir).filter(F.col("value").endswith("}"))
+    logs.write_dump(whole.select(
+        F.lit("metadata").alias("category"), "key", "value", F.col("key").alias("file_id"),
+        F.lit(C.FILE_METADATA_UPSERT).alias("event_type"), F.lit(0).alias("op_rank"),
+        F.lpad(F.col("offset").cast("string"), 20, "0").alias("ord")), f"{at}/dump")
+    logs.publish(logs.replay_dumps(spark, f"{at}/dump", partitioned=True), f"{at}/log", 1)
+    decoded = sinks.decode_events(logs.read_log(spark, f"{at}/log", C.TOPICS["metadata"]), "metadata").withColumn(
+        "rejected", ~sinks.accepted("metadata"))
+    last = sequence.latest_by_key(decoded.select("key", "rejected", "revision_seq", "offset", "event"), ["key", "rejected"],
+                                  sinks.DOCUMENT_ORDER[:1] + sinks.GRAPH_ORDER[1:])
+    return last.select(
+        F.col("key").alias("_id"), "event.content_sha256", F.col("event.line_count").cast("long").alias("line_count"),
+        F.unix_micros(text.event_time(F.col("event.event_time"))).alias("event_time_us"), "rejected")
 
 
 @query(f"""
-    select sha256('{REPOSITORY}:' || user_id || '/' || props) as node_id, event_id as "offset"
+    select sha256('{REPOSITORY}:' || user_id || '/' || props) as node_id, event_id as "offset",
+           1::bigint as runs, {LOG_FILES}::bigint as batches
     from ({_CDC_SQL.replace("select user_id, props, event_id", "select user_id, props, event_id, event_type")})
     where event_type <> 'error'""")
 def stream_graph(spark, sf_dir):
@@ -342,10 +435,10 @@ def stream_graph(spark, sf_dir):
         key.alias("key"), F.to_json(event).alias("value"), F.lit(C.TOPICS["node"]).alias("topic"),
         F.lit(0).alias("partition"), F.col("event_id").alias("offset"),
         F.lit(None).cast("timestamp").alias("timestamp"), F.lit(None).cast("long").alias("revision_seq"))
-    records.write.parquet(f"{at}/log")
+    _write_log(records, f"{at}/log")
     stream = logs.stream_log(spark, f"{at}/log", C.TOPICS["node"], files_per_trigger=1)
     sinks.start_graph(stream, "node", f"{at}/table", f"{at}/checkpoint", None).awaitTermination()
-    return sinks.current_nodes(sinks.stored(spark, f"{at}/table")).select("node_id", "offset")
+    return _with_batches(spark, sinks.current_nodes(sinks.stored(spark, f"{at}/table")).select("node_id", "offset"), f"{at}/table")
 
 
 # Nodes and edges of the derived texts: of the first revision, and of the second one.

@@ -95,9 +95,9 @@ def first_records(log: DataFrame) -> DataFrame:
 
 
 def write_dump(feed: DataFrame, target: str) -> None:
-    """Dry run: JSON lines per category, in event order."""
+    """Dry run: JSON lines per category, in event order within a file; a source file's events share one."""
     (
-        feed.orderBy("category", "file_id", "op_rank", "ord").select("category", "value")
+        feed.repartition("file_id").sortWithinPartitions("category", "file_id", "op_rank", "ord").select("category", "value")
         .write.mode("overwrite").partitionBy("category").text(target)
     )
 
