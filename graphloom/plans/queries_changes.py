@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from datetime import datetime, timedelta, timezone
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from graphloom import contract as C
@@ -11,8 +13,8 @@ from graphloom.functions import ids, text
 from graphloom.operators import changes, checks, feed, sequence
 from graphloom.plans import derived
 from graphloom.plans.catalog import REPOSITORY, query, table
-from graphloom.plans.extract import Extraction
-from graphloom.plans.pipeline import Locations, drain, run_batch
+from graphloom.plans.extract import Extraction, extract
+from graphloom.plans.pipeline import Locations, commit_state, drain, previous_state, run_batch
 from graphloom.session import shared_folder
 from graphloom.sources import logs
 from graphloom.streaming import sinks
@@ -43,9 +45,10 @@ def revision_diff(spark, sf_dir):
 _TIME = "2026-01-01T00:00:00.000000+00:00"
 
 
-def _order_revision(spark, sf_dir):
+def _order_batch(spark, sf_dir):
     """Customers as files and orders as their nodes: the batch has the orders that are final or
-    open, the state before it those that are open or partial. Customers in debt fail."""
+    open, the state before it those that are open or partial. Customers in debt fail. Gives the batch and
+    the nodes and edges before it."""
     customers = table(spark, sf_dir, "customer").select(
         F.lit(REPOSITORY).alias("repository"),
         F.concat(F.lit("customer/"), F.col("c_custkey").cast("string")).alias("path"),
@@ -86,7 +89,11 @@ def _order_revision(spark, sf_dir):
         F.lit(0).cast("long").alias("size_bytes"), F.lit(0).alias("line_count"),
         *(F.lit(0).alias(n) for n in C.COUNT_FIELDS), "status")
     batch = Extraction(files=customers, nodes=current, edges=edges(current), errors=errors, metadata=metadata)
-    return feed.change_feed(batch, previous, edges(previous), F.lit(_TIME))
+    return batch, previous, edges(previous)
+
+
+def _order_revision(spark, sf_dir):
+    return feed.change_feed(*_order_batch(spark, sf_dir), F.lit(_TIME))
 
 
 def _envelope_sql(event_type: str) -> str:
@@ -160,6 +167,67 @@ def log_topics(spark, sf_dir):
     return per_key.groupBy("topic").agg(F.sum(whole).alias("records"), F.count("*").alias("keys"))
 
 
+@query("""
+    with c as (select c_custkey, c_acctbal < 0 as failed from customer),
+    o as (select o_orderstatus as s from orders join c on c_custkey = o_custkey where not failed)
+    select 'corpus' as repository, (select count(*) from c) as total_files_targeted,
+           (select count(*) from c where not failed) as processed_files, (select count(*) from c where failed) as error_files,
+           (select count(*) from o where s in ('F', 'O')) as total_nodes_emitted,
+           (select count(*) from o where s in ('F', 'O')) as total_edges_emitted,
+           (select count(*) from o where s = 'P') as deleted_nodes_emitted,
+           (select count(*) from o where s = 'P') as deleted_edges_emitted,
+           0::bigint as ast_nodes, true as dry_run, 2.5::double as execution_duration_sec,
+           '2026-01-01T00:00:02.500000+00:00' as executed_at""")
+def run_summary(spark, sf_dir):
+    """Counters over a batch of orders and its feed."""
+    batch, nodes, edges = _order_batch(spark, sf_dir)
+    started = datetime(2026, 1, 1, tzinfo=timezone.utc)
+    report = feed.run_summary(feed.change_feed(batch, nodes, edges, F.lit(_TIME)), batch, REPOSITORY, started,
+                              started + timedelta(seconds=2.5), dry_run=True)
+    return report.withColumn("ast_nodes", F.col("cpg_breakdown.ast_nodes")).drop("cpg_breakdown")
+
+
+@query(_FEED_SQL + """
+    select key as error_id, file_id, json_extract_string(value, '$.path') as path, 'DebtError' as error_type, 0::bigint as lineno,
+           false as corrupt
+    from all_events where category = 'error'""")
+def dump_errors(spark, sf_dir):
+    """The error events of a feed, dumped as lines and read with their schema."""
+    at = _run_folder(spark)
+    logs.write_dump(_order_revision(spark, sf_dir), at)
+    return logs.read_events(spark, f"{at}/category=error", "error").select(
+        "error_id", "file_id", "path", "error_type", F.col("lineno").cast("long").alias("lineno"),
+        F.col("_corrupt_record").isNotNull().alias("corrupt"))
+
+
+@query("""
+    with c as (select c_acctbal < 0 as other from customer)
+    select 'one version' as state, (select count(*) from c) as files, false as refused
+    union all select 'two versions', null, (select bool_or(other) from c)""")
+def version_guard(spark, sf_dir):
+    """Earlier state is read whole if it is all of this version, and refused if some of it is not."""
+    batch, _, edges = _order_batch(spark, sf_dir)
+    every = batch.files.withColumn("status", F.lit("PARSED"))
+    found = []
+    for state, other in (("one version", F.lit(False)), ("two versions", F.col("c_acctbal") < 0)):
+        at = Locations(_run_folder(spark))
+        roots = every.select("file_id", F.col("file_id").alias("node_id"))
+        commit_state(Extraction(files=every, nodes=roots, edges=edges, errors=batch.errors, metadata=batch.metadata), at, 1)
+        if state != "one version":
+            marked = table(spark, sf_dir, "customer").select(
+                ids.file_id(F.lit(REPOSITORY), F.concat(F.lit("customer/"), F.col("c_custkey").cast("string"))).alias("file_id"),
+                F.lit("").alias("node_id"),
+                F.when(other, C.STATE_VERSION + 1).otherwise(C.STATE_VERSION).alias("state_version"))
+            marked.write.mode("overwrite").parquet(f"{at.state('nodes')}/revision_seq=1")
+        try:
+            found.append((state, previous_state(spark, every, at, 2)[0].count(), False))
+        except PySparkException as problem:
+            if "another version" not in str(problem):
+                raise
+            found.append((state, None, True))
+    return spark.createDataFrame(found, "state string, files long, refused boolean")
+
+
 @query("""
     with d as (select doc_id, coalesce(toxic, 0) = 1 as failed, text
                from documents left join labels using (doc_id)),
@@ -473,3 +541,32 @@ def replay_graph(spark, sf_dir):
         "file_id", "path", F.col("dfg_edge_count").cast("long").alias("dfg_edge_count"), "status")
     return documents.join(counted, "file_id", "full").select(
         "file_id", "path", "file_nodes", "file_edges", "dfg_edge_count", "status")
+
+
+@query(f"""
+    with s as (select 'suppliers/' || s_suppkey || '.py' as path, s_acctbal > 5000 as edited from supplier)
+    select sha256('{REPOSITORY}:' || path) as file_id, (case when edited then 51 + 3 * 8 else 47 + 8 end)::bigint as nodes,
+           (case when edited then 50 + 12 + 9 + 2 + 3 * 10 else 46 + 8 + 8 + 3 + 10 end)::bigint as edges,
+           0::bigint as missing, 0::bigint as stale
+    from s""")
+def recompute_compare(spark, sf_dir):
+    """Files extracted again, against the ids that two batches stored for them: exact in both directions."""
+    at = Locations(_run_folder(spark))
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
+
+    def texts(df, kind, steps):
+        return derived.row_files(df, REPOSITORY, "suppliers", "s_suppkey", "s_nationkey", F.lit(kind), F.lit(steps))
+
+    edited = texts(suppliers.filter("s_acctbal > 5000"), 1, 3)
+    for revision, batch in enumerate((texts(suppliers, 0, 1), edited), start=1):
+        commit_state(extract(batch), at, revision)
+    again = extract(edited.unionByName(texts(suppliers.filter("not s_acctbal > 5000"), 0, 1)))
+    stored_nodes, stored_edges = previous_state(spark, again.files, at, 3)
+    side = lambda df, kind, key, name: df.select("file_id", F.lit(kind).alias("kind"), F.col(key).alias("id"), F.lit(True).alias(name))
+    expected, actual = (side(n, "node", "node_id", name).unionByName(side(e, "edge", "edge_id", name)) for n, e, name in (
+        (again.nodes, again.edges, "expected"), (stored_nodes, stored_edges, "actual")))
+    both = expected.join(actual, ["file_id", "kind", "id"], "full")
+    return both.groupBy("file_id").agg(
+        F.count_if(F.col("expected") & (F.col("kind") == "node")).alias("nodes"),
+        F.count_if(F.col("expected") & (F.col("kind") == "edge")).alias("edges"),
+        F.count_if(F.col("actual").isNull()).alias("missing"), F.count_if(F.col("expected").isNull()).alias("stale"))

@@ -367,3 +367,77 @@ def singletons(spark, sf_dir):
     documents = table(spark, sf_dir, "customer").select(
         key.alias("_id"), F.when(F.col("c_acctbal") < 0, "x").otherwise(key).alias("file_id"))
     return checks.singletons(documents).withColumnRenamed("_id", "id")
+
+
+@query(f"""
+    with {_GRAPH_SQL},
+    d as (select c_custkey::varchar as id, case when c_acctbal < 0 then 'x' else c_custkey::varchar end as file from customer),
+    r as (
+        select (select count(*) from (select 1 from nodes group by node_id having count(*) > 1)) as duplicate_node_ids,
+               (select count(*) from (select 1 from edges group by edge_id having count(*) > 1)) as duplicate_edge_ids,
+               (select count(*) from d where id = '7') as count_by_id, (select count(*) from d where file = '7') as count_by_file_id),
+    m as (
+        select *, concat_ws('; ',
+            case when duplicate_node_ids <> 0 then 'duplicate_node_ids: expected 0, got ' || duplicate_node_ids end,
+            case when duplicate_edge_ids <> 0 then 'duplicate_edge_ids: expected 0, got ' || duplicate_edge_ids end,
+            case when count_by_id <> 1 then 'count_by_id: expected 1, got ' || count_by_id end,
+            case when count_by_file_id <> 1 then 'count_by_file_id: expected 1, got ' || count_by_file_id end
+        ) as found from r)
+    select * exclude (found), found as mismatches, case when found = '' then 'PASS' else 'FAIL' end as status from m""")
+def idempotency(spark, sf_dir):
+    """Duplicate ids in all sinks, and the documents of one file."""
+    nodes, edges = _part_graph(spark, sf_dir)
+    key = F.col("c_custkey").cast("string")
+    documents = table(spark, sf_dir, "customer").select(
+        key.alias("_id"), F.when(F.col("c_acctbal") < 0, "x").otherwise(key).alias("file_id"))
+    report = checks.verify_idempotency(nodes, edges, documents, "7")
+    return report.withColumn("mismatches", F.array_join("mismatches", "; "))
+
+
+@query("""
+    with n as (select o_orderkey::varchar as id, o_custkey = 7 as mine, o_orderstatus as s from orders),
+    e as (select l_orderkey || ':' || l_linenumber as id, o_custkey = 7 as mine, l_returnflag as s
+          from lineitem join orders on o_orderkey = l_orderkey),
+    en as (select id from n where mine and s in ('F', 'O')), an as (select id from n where mine and s in ('O', 'P')),
+    ee as (select id from e where mine and s in ('A', 'N')), ae as (select id from e where mine and s in ('N', 'R')),
+    r as (
+        select (select count(*) from en) as expected_node_count, (select count(*) from an) as actual_node_count,
+               (select count(distinct id) from en where id not in (select id from an)) as missing_nodes,
+               (select count(distinct id) from an where id not in (select id from en)) as stale_nodes,
+               (select count(*) from ee) as expected_edge_count, (select count(*) from ae) as actual_edge_count,
+               (select count(distinct id) from ee where id not in (select id from ae)) as missing_edges,
+               (select count(distinct id) from ae where id not in (select id from ee)) as stale_edges,
+               count(*) as documents, count(distinct c_custkey) as distinct_file_ids,
+               count(*) filter (c_custkey = 7) as count_by_id, count(*) filter (c_custkey = 7) as count_by_file_id,
+               max(sha256(c_name)) filter (c_custkey = 7) as stored_sha256, max(c_custkey) filter (c_custkey = 7) as stored_offset,
+               max(c_nationkey) filter (c_custkey = 7) as stored_revision
+        from customer),
+    m as (
+        select *, concat_ws('; ',
+            case when missing_nodes <> 0 then 'missing_nodes: expected 0, got ' || missing_nodes end,
+            case when stale_nodes <> 0 then 'stale_nodes: expected 0, got ' || stale_nodes end,
+            case when missing_edges <> 0 then 'missing_edges: expected 0, got ' || missing_edges end,
+            case when stale_edges <> 0 then 'stale_edges: expected 0, got ' || stale_edges end,
+            case when count_by_id <> 1 then 'count_by_id: expected 1, got ' || count_by_id end,
+            case when count_by_file_id <> 1 then 'count_by_file_id: expected 1, got ' || count_by_file_id end,
+            'stored_sha256: expected none, got ' || stored_sha256,
+            case when documents <> 1500 then 'documents: expected 1500, got ' || documents end,
+            case when distinct_file_ids <> 1500 then 'distinct_file_ids: expected 1500, got ' || distinct_file_ids end,
+            case when stored_offset < 5 then 'offset is below 5' end,
+            case when stored_revision < 100 then 'revision is below 100' end
+        ) as found from r)
+    select * exclude (found), found as mismatches, case when found = '' then 'PASS' else 'FAIL' end as status from m""")
+def exact_state(spark, sf_dir):
+    """State of one file in all sinks against what it should be: a customer's orders and their lines."""
+    text = lambda name: F.col(name).cast("string")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    nodes = orders.select(text("o_orderkey").alias("node_id"), text("o_custkey").alias("file_id"), "o_orderstatus")
+    edges = table(spark, sf_dir, "lineitem").join(orders, F.col("o_orderkey") == F.col("l_orderkey")).select(
+        F.concat_ws(":", text("l_orderkey"), text("l_linenumber")).alias("edge_id"), text("o_custkey").alias("file_id"), "l_returnflag")
+    documents = table(spark, sf_dir, "customer").select(
+        text("c_custkey").alias("_id"), text("c_custkey").alias("file_id"), ids.sha256(F.col("c_name")).alias("content_sha256"),
+        F.col("c_custkey").alias("kafka_offset"), F.col("c_nationkey").alias("revision_seq"))
+    report = checks.exact_state(
+        nodes.filter("file_id = '7' and o_orderstatus in ('F', 'O')"), edges.filter("file_id = '7' and l_returnflag in ('A', 'N')"),
+        nodes.filter("o_orderstatus in ('O', 'P')"), edges.filter("l_returnflag in ('N', 'R')"), documents, "7", "none", 1500, 5, 100)
+    return report.withColumn("mismatches", F.array_join("mismatches", "; "))

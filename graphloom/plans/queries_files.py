@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from graphloom.functions import ids, paths
 from graphloom.plans.catalog import REPOSITORY, query, table
+from graphloom.session import shared_folder
 from graphloom.sources import discovery
 
 # Exclusion rules applied to page addresses: languages as directories.
@@ -103,3 +106,17 @@ def text_ids(spark, sf_dir):
         ids.error_id(F.concat(F.lit(f"{REPOSITORY}:"), doc), F.col("lang"), F.lit(3), F.lit(0),
                      F.col("text")).alias("error_id"),
         ids.file_id(F.lit(REPOSITORY), doc).alias("file_id"))
+
+
+@query(f"""
+    select sha256('{REPOSITORY}:' || path) as file_id, path
+    from (select source || '/' || lang || '/' || doc_id || '.txt' as path from documents)""")
+def manifest_scan(spark, sf_dir):
+    """A manifest of the documents as JSON lines, every third without an id and with blank lines between, read again."""
+    path = F.concat_ws("/", "source", "lang", F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    named = table(spark, sf_dir, "documents").select("doc_id", path.alias("path")).withColumn(
+        "file_id", F.when(F.col("doc_id") % 3 > 0, ids.file_id(F.lit(REPOSITORY), F.col("path"))))
+    line = F.concat(F.to_json(F.struct("file_id", "path")), F.when(F.col("doc_id") % 5 == 0, "\n  \n").otherwise(""))
+    target = f"{shared_folder(spark)}/manifest-{uuid.uuid4().hex}"
+    named.select(line.alias("value")).write.text(target)
+    return discovery.read_manifest(spark, target, REPOSITORY)
