@@ -21,6 +21,8 @@ DICTIONARY_BYTES = 64 << 10
 PIECE_BYTES = 16 << 10
 LEVEL = 6
 UNKNOWN = "und"
+#: Predictions whose second smallest output is less than this share larger are rejected.
+LEAST_MARGIN = 0.01
 
 #: Small ASCII letters and everything outside ASCII stay, the rest becomes a space.
 LETTERS = bytes(b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -65,11 +67,11 @@ def _fill(pieces: list[bytes]) -> bytes:
 
 
 def predict(documents: DataFrame, dictionaries: dict[str, bytes], text: str = "text",
-            least_margin: float = 0.0) -> DataFrame:
+            least_margin: float = LEAST_MARGIN) -> DataFrame:
     """All columns of ``documents`` but the text, with the predicted language, score, margin and rejection.
 
     ``margin`` is how much larger the second smallest output is, as a share of it; ``score`` is 0 for a tie and
-    rises to 1; a margin below ``least_margin`` sets ``rejected``. Null texts and texts without a letter are ``und``
+    rises to 1; a margin below ``least_margin`` sets ``rejected``, beside the prediction. Null texts and texts without a letter are ``und``
     with score 0. Equal outputs go to the first language by name. Columns named like a result are replaced.
     """
     names = sorted(dictionaries)
