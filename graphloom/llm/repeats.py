@@ -311,13 +311,15 @@ def dictionary(buckets: int):
             of, offset, start, hashed = of[order], offset[order], start[order], hashed[order]
             new = _runs(hashed)
             least = ids[of][new][np.cumsum(new) - 1]
-            known = ids[of] > least
+            # the least document may have a string in several phrases or places: all of them meet the other slices
+            keep = ids[of] == least
+            known = ~keep
             k = int(known.sum())
             if k:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[of][known] % buckets, pa.int32()), pa.array(ids[of][known]), pa.array(found.digest[of][known].view(np.int64)),
                      pa.array((1 << offset[known]).astype(np.int32)), *[pa.nulls(k, pa.binary())] * 5], names=[c.split()[0] for c in ITEMS.split(", ")])
-            of, offset, start, hashed = of[new], offset[new], start[new], hashed[new]
+            of, offset, start, hashed = of[keep], offset[keep], start[keep], hashed[keep]
             yield from _send(part.data, (hashed % np.uint64(buckets)).astype(np.int64), ids[of], found.digest[of], offset, start,
                              np.full(len(of), WIDTH))
 

@@ -192,6 +192,13 @@ def test_repeats(spark, edges, nothing, documents, monkeypatch):
     assert removal(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)) == plain_removal(rows)
 
 
+def test_repeats_twice_in_the_least_document_of_a_slice(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "HOT", 2)
+    line = "All rights reserved by the company and nobody else, now or then. "
+    rows = [(i, prose(12, 500 + i) + line + prose(12, 600 + i) + line + prose(12, 700 + i)) for i in range(40)]
+    assert removal(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)) == plain_removal(rows)
+
+
 # --- 5 ---------------------------------------------------------------------------------------------------------------
 
 def test_chat(spark):
