@@ -69,7 +69,8 @@ class WordEncoder:
     For tokenizers that drop white space and letter case and never join words, nor letters and marks: the ids of a text
     are those of its pieces in a row. A piece is a word in small letters, its closing ASCII marks taken off as a piece of
     their own where they follow an ASCII letter or digit. Pieces of plain small letters go to the library's merging
-    step directly; all others go through all its steps. Pieces are told apart by 64-bit hashes, computed a slice
+    step directly; all others go through all its steps. The library looks for special tokens before it makes letters
+    small, so what reads like one in small letters keeps its own letters in its piece. Pieces are told apart by 64-bit hashes, computed a slice
     at a time. What is known is three arrays, which are dropped when they hold ``KNOWN_PIECES`` pieces.
     """
 
@@ -82,6 +83,10 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        special = [re.escape(low) for t in self.tokenizer.get_added_tokens_decoder().values()
+                   if (low := W.LOWER[np.frombuffer(t.content.encode(), np.uint8)].tobytes())]
+        # all places, overlapping ones too
+        self.special = [re.compile(b"(?=(" + s + b"))") for s in special]
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         # the byte-level alphabet: printable bytes stand for themselves, the others for characters from 256 on
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -121,6 +126,11 @@ class WordEncoder:
     def pieces(self, part: W.Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(bytes, starts, ends, row bounds) of the pieces of all texts."""
         low = W.LOWER[part.data]
+        small = low.tobytes()
+        for special in self.special:
+            for found in special.finditer(small):
+                a, b = found.span(1)
+                low[a:b] = part.data[a:b]
         words = W.words(low, part.offsets, W.NONSPACE)
         ends = words.ends.copy()
         while True:

@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -336,6 +337,17 @@ def test_records(spark, edges, nothing, tmp_path):
     assert records.read_records(spark, f"{tmp_path}/none").count() == 0
 
 
+def test_records_encode_special_tokens_by_their_own_letters():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = ["<|ENDOFTEXT|>", "x<|EndOfText|>y", "<|StartOfText|>", "<|endoftext|>", "x<|endoftext|>Y!!", "It's <|ENDOFTEXT|>, HERE",
+             "<|endoftext|><|ENDOFTEXT|>", "É<|EndOfText|>É.", "<|ENDOF", "TEXT|>", None, "<|ENDOFTEXT|>"]
+    whole = Tokenizer.from_file(path)
+    got = [ids.tolist() for ids in records.WordEncoder(path).encode(pa.array(texts))]
+    assert got == [whole.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
 def test_damaged_record():
     data = bytearray(records.frame(7, np.array([5, 6], "<u4"), 2))
     view = memoryview(bytes(data))[8:]
