@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from graphloom.llm import words as W
-from graphloom.llm.common import materialise
+from graphloom.llm.common import ambiguous, materialise, numbered
 from graphloom.llm.components import components
 
 SHINGLE = 5
@@ -333,7 +333,13 @@ def links(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", thre
 
 
 def one_of_each(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """Documents whose id is the least of their class; rows that repeat that id, and rows without an id, all stay."""
+    """Exactly one row of each class: one with the least id, or one without an id if the class has no id."""
+    if ambiguous(documents, doc_id):
+        rows = numbered(documents, "__row")
+        found = links(rows, "__row", text, threshold).select(F.col("doc_id").alias("__row"), "class_id")
+        kept = (rows.select("__row", F.col(doc_id).alias("__id")).join(found, "__row").groupBy("class_id")
+                .agg(F.min(F.struct(F.col("__id").isNull(), "__id", "__row")).alias("least")).select("least.__row"))
+        return rows.join(kept, "__row", "left_semi").select(documents.columns)
     found = links(documents, doc_id, text, threshold)
     dropped = found.where(F.col("doc_id") != F.col("class_id")).select(F.col("doc_id").alias(doc_id)).distinct()
     return documents.join(dropped, doc_id, "left_anti").select(documents.columns)

@@ -130,6 +130,14 @@ def test_links(spark, edges, nothing, monkeypatch):
     assert kept == {c for _, c, _ in got}
 
 
+def test_one_row_of_each_class_by_row(spark):
+    a, b = prose(60, 41), prose(60, 42)
+    rows = [(3, a), (5, a), (5, b), (None, a), (None, prose(60, 43)), (None, prose(60, 43)), (7, prose(60, 44)), (7, prose(60, 44)), (None, None)]
+    kept = jaccard.one_of_each(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted(
+        [(3, a), (5, b), (None, prose(60, 43)), (7, prose(60, 44)), (None, None)], key=str)
+
+
 def test_pruning_keeps_what_can_reach_the_threshold():
     least = jaccard.least_matches()
     assert least == sorted(least) and len(least) == 8
