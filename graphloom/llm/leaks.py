@@ -22,7 +22,7 @@ WINDOW = 10
 BLOCK_WINDOWS = 2_000_000
 _FILTER_BITS = 22
 
-FOUND = "doc_id {id}, n_words long, hits binary, items array<string>"
+FOUND = "doc_id {id}, n_words long, hits binary, items array<string>, digest binary"
 
 
 def test_windows(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", window: int = WINDOW) -> DataFrame:
@@ -40,7 +40,7 @@ def test_windows(benchmark: DataFrame, item_id: str = "item_id", text: str = "te
 
 
 def scan(documents: DataFrame, windows: list, doc_id: str, text: str) -> DataFrame:
-    """Hits of one block of windows: (doc_id, n_words, hits, items). ``hits`` has one byte a word."""
+    """Hits of one block of windows: (doc_id, n_words, hits, items, digest). ``hits`` has one byte a word."""
     spark = documents.sparkSession
     by_length: dict[int, dict[bytes, list[str]]] = {}
     for item, length, phrase in windows:
@@ -59,7 +59,7 @@ def scan(documents: DataFrame, windows: list, doc_id: str, text: str) -> DataFra
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lengths = [(n, h, np.unpackbits(c).astype(bool), p) for n, h, c, p in shared.value]
         for batch in batches:
-            counts, hits, items = [], [], []
+            counts, hits, items, digests = [], [], [], []
             for part in W.slices(batch.column(1)):
                 low = W.LOWER[part.data]
                 found = W.words(low, part.offsets, W.ALNUM)
@@ -82,11 +82,14 @@ def scan(documents: DataFrame, windows: list, doc_id: str, text: str) -> DataFra
                 counts.append(size)
                 for row, (a, b) in enumerate(zip(found.rows[:-1].tolist(), found.rows[1:].tolist(), strict=True)):
                     hits.append(mark[a:b].tobytes() if row in occurring else b"")
-                    items.append(sorted(occurring.get(row, ())))
+                    # an item without an id comes last, as Spark sorts arrays
+                    items.append(sorted(occurring.get(row, ()), key=lambda x: (x is None, x or "")))
+                    text_of = part.data[part.offsets[row]:part.offsets[row + 1]]
+                    digests.append(hashlib.sha256(text_of.tobytes()).digest() if row in occurring else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(np.concatenate(counts) if counts else [], pa.int64()),
-                 pa.array(hits, pa.binary()), pa.array(items, pa.list_(pa.string()))],
-                names=["doc_id", "n_words", "hits", "items"])
+                 pa.array(hits, pa.binary()), pa.array(items, pa.list_(pa.string())), pa.array(digests, pa.binary())],
+                names=["doc_id", "n_words", "hits", "items", "digest"])
 
     kind = dict(documents.dtypes)[doc_id]
     return documents.select(doc_id, F.col(text).cast("string")).mapInArrow(find, FOUND.format(id=kind))
@@ -95,7 +98,10 @@ def scan(documents: DataFrame, windows: list, doc_id: str, text: str) -> DataFra
 def contamination(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
                   item_id: str = "item_id", item_text: str = "text", window: int = WINDOW,
                   block_windows: int = BLOCK_WINDOWS) -> DataFrame:
-    """(doc_id, n_words, hits, items) per document row: ``hits`` is empty, or has a 1 for each hit word.
+    """(doc_id, n_words, hits, items, digest) per document row: ``hits`` is empty, or has a 1 for each hit word.
+
+    ``digest`` is the SHA-256 of a text that has hits: hits depend on the text alone, so id and digest tell which rows
+    they belong to where ids repeat or are missing. An item without an id is one item, the last of ``items``.
 
     Null and empty texts have no words and no hits; items without words are never found; an empty benchmark
     gives documents without hits. Rows that repeat a doc_id are rows of their own, however many blocks the benchmark
@@ -119,8 +125,9 @@ def contamination(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc
     # one byte a word, 0 or 1: the union of equally long marks is the greatest byte at each place
     united = found.groupBy(F.col("doc_id").alias("row"), "n_words").agg(
         F.collect_list(F.when(F.octet_length("hits") > 0, F.col("hits"))).alias("all"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    return rows.select("row", "doc_id").join(united, "row").select("doc_id", "n_words", _united("all").alias("hits"), "items")
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+        F.max("digest").alias("digest"))
+    return rows.select("row", "doc_id").join(united, "row").select("doc_id", "n_words", _united("all").alias("hits"), "items", "digest")
 
 
 @F.udf(T.BinaryType())
@@ -134,18 +141,25 @@ def items_digest(items) -> str:
     return hashlib.sha256(",".join(items).encode()).hexdigest()
 
 
-def remove_documents(documents: DataFrame, found: DataFrame, doc_id: str = "doc_id") -> DataFrame:
+def _with_hits(documents: DataFrame, found: DataFrame, doc_id: str, text: str, how: str) -> DataFrame:
+    """``documents`` joined with the hits (``__hits``) of their own id and text, no id equal to no id."""
+    hit = found.where(F.octet_length("hits") > 0).select(
+        F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), F.col("hits").alias("__hits"))
+    mine = F.unhex(F.sha2(F.col(text).cast("string"), 256))
+    return documents.join(hit.dropDuplicates(["__id", "__digest"]),
+                          F.col(doc_id).eqNullSafe(F.col("__id")) & (mine == F.col("__digest")), how)
+
+
+def remove_documents(documents: DataFrame, found: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Documents without any hit."""
-    bad = found.where(F.octet_length("hits") > 0).select(F.col("doc_id").alias(doc_id)).distinct()
-    return documents.join(bad, doc_id, "left_anti").select(documents.columns)
+    return _with_hits(documents, found, doc_id, text, "left_anti").select(documents.columns)
 
 
 def remove_spans(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
                  **options) -> DataFrame:
     """Documents with hit words, and what lies between two hit words of a run, cut out of their texts."""
     found = contamination(documents, benchmark, doc_id, text, **options)
-    hit = found.where(F.octet_length("hits") > 0).select(F.col("doc_id").alias(doc_id), F.col("hits").alias("__hits"))
-    joined = documents.join(hit.dropDuplicates([doc_id]), doc_id, "left")
+    joined = _with_hits(documents, found, doc_id, text, "left")
     clean = F.when(F.col("__hits").isNull(), F.col(text)).otherwise(_without(text, "__hits"))
     return joined.withColumn(text, clean).select(documents.columns)
 

@@ -280,6 +280,20 @@ def test_leaks(spark, edges, nothing):
     assert cut[4][0] == "One " and cut[8][0].strip() == prose(30, 4) and cut[5][0] == TEXTS[5] and cut[0][0] is None
 
 
+def test_leaks_of_rows_with_equal_or_missing_ids(spark):
+    tests = spark.createDataFrame([(None, "three four five"), (1, "three four five"), (2, "four five")], "item_id long, text string")
+    rows = [(None, "two three four five six"), (None, "clean"), (4, "three four five"), (4, "clean too"), (4, "x four five"), (5, None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    for options in ({}, {"block_windows": 1}):
+        found = leaks.contamination(table, tests, **options)
+        assert sorted((r["items"] for r in found.collect()), key=str) == [["1", "2", None], ["1", "2", None], ["2"], [], [], []]
+        kept = leaks.remove_documents(table, found).collect()
+        assert sorted(map(tuple, kept), key=str) == sorted([(None, "clean"), (4, "clean too"), (5, None)], key=str)
+        cut = leaks.remove_spans(table, tests, **options).collect()
+        assert sorted(map(tuple, cut), key=str) == sorted(
+            [(None, "two  six"), (None, "clean"), (4, ""), (4, "clean too"), (4, "x "), (5, None)], key=str)
+
+
 # --- 8 ---------------------------------------------------------------------------------------------------------------
 
 def plain_measures(text):
