@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from graphloom.llm.common import PLAIN_WORD, materialise
+from graphloom.llm.common import PLAIN_WORD, ambiguous, materialise, numbered
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -59,8 +59,8 @@ def targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, mo
 
 def plan(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
          whole: bool = False, seed: str = SEED, weight: Column | None = None, weights: tuple = WEIGHTS,
-         share: float = SHARE, most: int = MOST) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken, copies) per document row.
+         share: float = SHARE, most: int = MOST, row: str | None = None) -> DataFrame:
+    """(doc_id, source, size, source_size, target, taken, copies) per document row, and its column ``row`` if asked for.
 
     ``taken`` counts words, repeats included. The document in which a budget ends gives its first words, or with
     ``whole`` all of them if at least half of them fit. ``copies`` is the number of times a document occurs, cut
@@ -73,7 +73,7 @@ def plan(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", sourc
     rows = materialise(documents.select(
         F.col(doc_id).alias("doc_id"), F.col(source).alias("source"),
         F.coalesce(F.regexp_count(F.col(text), F.lit(PLAIN_WORD)), F.lit(0)).cast("long").alias("size"),
-        key.alias("key"),
+        key.alias("key"), *([row] if row else []),
     ).withColumn("bin", F.floor(F.col("key") / (F.col("key") + 1) * bins).cast("long")), "mix-rows")
 
     by_bin = rows.groupBy("source", "bin").agg(F.sum("size").alias("s"))
@@ -93,7 +93,7 @@ def plan(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", sourc
     known = _join(rows, budget)
     inside = known.where(F.col("bin") == F.col("end_bin"))
     outside = known.where(~F.col("bin").eqNullSafe(F.col("end_bin")))
-    order = Window.partitionBy("source", "bin").orderBy("key", "doc_id", "size")
+    order = Window.partitionBy("source", "bin").orderBy("key", "doc_id", "size", *([row] if row else []))
     prior = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     room = F.col("left") - F.col("before") - prior
     part = (F.when(room >= F.col("size") / 2, F.col("size")).otherwise(F.lit(0)) if whole
@@ -103,7 +103,7 @@ def plan(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", sourc
     return inside.unionByName(outside).select(
         "doc_id", "source", "size", "source_size", "target",
         (F.col("epochs") * F.col("size") + F.col("part")).alias("taken"),
-        (F.col("epochs") + (F.col("part") > 0).cast("long")).alias("copies"))
+        (F.col("epochs") + (F.col("part") > 0).cast("long")).alias("copies"), *([row] if row else []))
 
 
 def _join(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
@@ -113,7 +113,13 @@ def _join(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
 
 
 def mix(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
-    """The mixed documents: each as often as its plan says, all of its columns; documents not taken are left out."""
+    """The mixed documents: each row as often as its own plan says, all of its columns; rows not taken are left out."""
+    if ambiguous(documents, doc_id):
+        rows = numbered(documents, "__row")
+        copies = plan(rows, doc_id, text, source, whole=True, row="__row", **options).where("copies > 0").select(
+            "__row", F.col("copies").alias("__copies"))
+        return rows.join(copies, "__row").withColumn(
+            "__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(documents.columns)
     counts = (plan(documents, doc_id, text, source, whole=True, **options)
               .groupBy(F.col("doc_id").alias("__id"), F.col("source").alias("__source"))
               .agg(F.max("copies").alias("__copies")))

@@ -338,6 +338,16 @@ def test_mixing(edges, nothing, documents):
     assert sorted(mixing.plan(documents).collect()) == sorted(mixing.plan(documents.repartition(7)).collect())
 
 
+def test_mix_takes_rows_of_one_id_by_their_own_plans(spark):
+    rows = [(1 if i < 30 else None, "w " * 5 + str(i), "s", i) for i in range(60)] + [(i, "v " * 9, "t", i) for i in range(100, 120)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string, k long").repartition(3)
+    planned, got = mixing.plan(table, whole=True), mixing.mix(table)
+    assert got.columns == table.columns
+    count = lambda df, n: {r["source"]: r["n"] for r in df.groupBy("source").agg(n.alias("n")).collect()}
+    assert count(got, F.count(F.lit(1))) == count(planned, F.sum("copies"))
+    assert {r["copies"] for r in planned.where("source = 's'").collect()} == {1, 2}
+
+
 # --- 10 --------------------------------------------------------------------------------------------------------------
 
 def test_records(spark, edges, nothing, tmp_path):
