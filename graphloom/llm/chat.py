@@ -1,9 +1,10 @@
 """Chat formatting: turns of typed content parts as one text with placeholders, attachments and a loss mask.
 
-A turn is ``<turn role>`` LF text ``</turn>`` LF. In texts and roles a backslash becomes two and ``<`` becomes ``\\l``, so
-no text holds a control string and every text comes back unchanged. An image, audio or document part becomes a
-placeholder ``<kind:k>``, where k numbers the conversation's attachments from 0; its reference and the number
-of tokens that it stands for are recorded beside the text. Only DataFrame functions are used.
+A turn is ``<turn role>`` LF text ``</turn>`` LF. In texts and roles a backslash becomes two and ``<`` becomes ``\\l``; in
+a role, ``>`` LF, which would end it, becomes ``\\n``, as long as itself. So no text holds a control string and every
+text and role comes back unchanged. An image, audio or document part becomes a placeholder ``<kind:k>``, where k numbers
+the conversation's attachments from 0; its reference and the number of tokens that it stands for are recorded beside the
+text. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
@@ -22,7 +23,8 @@ def escape(text: Column) -> Column:
 
 
 def unescape(text: Column) -> Column:
-    return F.array_join(F.transform(F.split(text, r"\\\\", -1), lambda x: F.replace(x, F.lit("\\l"), F.lit("<"))), "\\")
+    return F.array_join(F.transform(F.split(text, r"\\\\", -1), lambda x: F.replace(
+        F.replace(x, F.lit("\\l"), F.lit("<")), F.lit("\\n"), F.lit(">\n"))), "\\")
 
 
 def text_part(text: Column) -> Column:
@@ -61,7 +63,7 @@ def format_conversations(turns: DataFrame, parts: Column | None = None, conv_id:
     ordered = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
     # the visitor: all parts in order, each with its turn's place, the attachments numbered as they come
     flat = F.flatten(F.transform("turns", lambda t: F.concat(
-        F.array(_piece("open", F.concat(F.lit(OPEN), F.replace(escape(t["role"]), F.lit("\n"), F.lit(" ")), F.lit(">\n")))),
+        F.array(_piece("open", F.concat(F.lit(OPEN), F.replace(escape(t["role"]), F.lit(">\n"), F.lit("\\n")), F.lit(">\n")))),
         F.transform(t["parts"], lambda p: F.when(is_text(p), _piece(
             F.when(t["role"] == TRAINED, F.lit("loss")).otherwise(F.lit("text")), escape(F.coalesce(p["text"], F.lit("")))))
             .otherwise(_piece("attached", p["type"], p["ref"], expanded(p)))),

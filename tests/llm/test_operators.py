@@ -237,6 +237,15 @@ def test_chat_parts(spark):
     assert [got["formatted"][s["start"]:s["end"]] for s in got["loss_spans"]] == ["ok \\l"]
 
 
+def test_chat_roles_with_line_feeds(spark):
+    odd = ["a\nb", ">\n", "a>\n>\nb>", "\\n", "\\>\n\\n<", "\n", ">"]
+    turns = spark.createDataFrame([(1, t, r, ">\nx\\n") for t, r in enumerate(odd)], "conv_id long, turn long, role string, text string")
+    back = chat.read_back(chat.format_conversations(turns)).first()
+    assert [tuple(t) for t in back["turns"]] == [(r, ">\nx\\n") for r in odd]
+    shown = [x.replace("\\", "\\\\").replace("<", "\\l") for r in odd for x in (r, ">\nx\\n")]
+    assert back["formatted_chars"] == sum(map(len, shown)) + 16 * len(odd)
+
+
 # --- 6 ---------------------------------------------------------------------------------------------------------------
 
 def test_quality(spark, edges, nothing):
