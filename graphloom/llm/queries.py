@@ -5,8 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from graphloom.llm import chat, jaccard, language, leaks, mixing, quality, records, repeats, rules, secrets
-from graphloom.llm.common import materialise, remainder, table
+from graphloom.llm import (
+    chat, divergence, jaccard, language, leaks, mixing, pieces, quality, records, repeats, rules, runs, secrets)
+from graphloom.llm.common import PLAIN_WORD, materialise, remainder, table
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -259,3 +260,81 @@ def op10_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = records.new_folder(spark, "records")
     records.write_records(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"))
     return records.read_records(spark, folder)
+
+
+@query()
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text by merge rounds, and the text that the library makes of them."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    read = pieces.decode(pieces.encode(table(spark, sf_dir, "documents"), model), model)
+    return read.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query(rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all({_SMALL.format("coalesce(text, '')")}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+counts AS (SELECT r, lang, source, term, count(*) AS n FROM t GROUP BY ALL),
+kept AS (SELECT lang, term, sum(n) AS total FROM counts GROUP BY ALL HAVING count(*) >= 30),
+langs AS (SELECT lang, count(*) AS v, sum(total) AS lang_n FROM kept GROUP BY 1),
+cells AS (SELECT lang, source, term, sum(n) AS n FROM counts JOIN kept USING (lang, term) GROUP BY ALL),
+sizes AS (SELECT lang, source, sum(n) AS group_n FROM cells GROUP BY ALL),
+groups AS (
+  SELECT g.lang, g.source, coalesce(v, 0) AS v, coalesce(lang_n, 0) AS lang_n, coalesce(group_n, 0) AS group_n
+  FROM (SELECT DISTINCT lang, source FROM d) g LEFT JOIN langs l ON g.lang = l.lang
+  LEFT JOIN sizes s ON g.lang = s.lang AND g.source = s.source),
+shares AS (
+  SELECT g.lang AS lang, g.source AS source, k.term AS term, coalesce(c.n, 0) AS n,
+         CAST(1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (g.group_n + 5 * g.v) AS BIGINT) AS p,
+         CAST(1 + (1000000000::HUGEINT * (k.total + 5)) // (g.lang_n + 5 * g.v) AS BIGINT) AS q
+  FROM groups g JOIN kept k ON g.lang = k.lang
+  LEFT JOIN cells c ON g.lang = c.lang AND g.source = c.source AND k.term = c.term),
+sums AS (
+  SELECT a.lang AS lang, a.source AS source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang AS lang, a.source AS source, 'pair' AS part, b.source AS item, CAST(coalesce(s.value, 0) AS BIGINT) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM shares WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
+""")
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far sources are from each other, and the terms by which each stands out from its language."""
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+def _planted_text() -> F.Column:
+    """The text, but for a tenth of the documents: there, words from some word on repeat with a period."""
+    words = F.regexp_extract_all("text", F.lit(f"({PLAIN_WORD})"), F.lit(1))
+    digest = F.crc32(F.col("doc_id").cast("string"))
+    bound = F.array(F.struct(words.alias("w"), F.floor(digest / 10).alias("g")))
+    return F.when(F.pmod(digest, F.lit(10)) == 0, F.array_join(F.flatten(F.transform(bound, _periodic)), " ")).otherwise(F.col("text"))
+
+
+def _periodic(x: F.Column) -> F.Column:
+    """Words w of which those from a on are replaced by the p words at a; null without words."""
+    n = F.size(x["w"]).cast("long")
+    a = x["g"] % n
+    p = 1 + F.floor((n - a) / (3 + x["g"] % 8))
+    place = lambda i: F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")
+    return F.when(n > 0, F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.get(x["w"], place(i))))
+
+
+@query()
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every text, a tenth of which are made periodic, and what is left without their repeats."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", _planted_text().alias("text"))
+    found = runs.periodic_runs(documents)
+    longest = F.element_at(F.array_sort("runs", lambda x, y: F.when(x["length"] != y["length"], y["length"] - x["length"]).when(
+        x["start"] != y["start"], x["start"] - y["start"]).otherwise(x["period"] - y["period"]).cast("int")), 1)
+    shown = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.withColumn("best", F.when(F.size("runs") > 0, longest)).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(shown, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
