@@ -25,6 +25,19 @@ def stale_rows(previous: DataFrame, current: DataFrame, touched: DataFrame, grou
     return missing_from(in_batch, current, [group, key])
 
 
+def set_digests(df: DataFrame, group: str, key: str, out: str) -> DataFrame:
+    """One text per group that depends on its set of keys alone: their number, and the sum and the exclusive or of
+    64-bit hashes of them. All three are fixed in width and combined before the shuffle. Keys must not repeat in a group."""
+    digest = F.concat_ws("-", F.count(key), F.bit_xor(F.xxhash64(key)), F.sum(F.shiftrightunsigned(F.xxhash64(F.lit("second"), key), 24)))
+    return df.groupBy(group).agg(digest.alias(out))
+
+
+def unchanged_groups(previous: DataFrame, current: DataFrame, group: str, key: str) -> DataFrame:
+    """Groups that have the same set of keys on both sides, by their digests; no keys are joined."""
+    return set_digests(previous, group, key, "digest").join(
+        set_digests(current, group, key, "digest"), [group, "digest"]).select(group)
+
+
 def compare_sets(expected: DataFrame, actual: DataFrame, key: str) -> DataFrame:
     """Keys that are missing from ``actual`` or stale in it; one outer join of distinct keys."""
     left = expected.select(key).distinct().withColumn("_expected", F.lit(True))

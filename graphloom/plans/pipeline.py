@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from graphloom import contract as C
 from graphloom.operators.feed import change_feed
+from graphloom.plans import state
 from graphloom.plans.extract import Extraction, extract
 from graphloom.session import materialise
 from graphloom.sources import logs
@@ -32,66 +31,35 @@ class Locations:
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/checkpoints/{name}"
 
-    def state(self, name: str) -> str:
-        return f"{self.root}/state/{name}"
-
-
-STATE_COLUMNS = {
-    "files": ("file_id", "content_sha256"),
-    "nodes": ("file_id", "node_id"),
-    "edges": ("file_id", "edge_id", "edge_type", "source_id", "target_id"),
-}
+    @property
+    def state(self) -> str:
+        return f"{self.root}/state"
 
 
-def run_batch(spark: SparkSession, files: DataFrame, at: Locations, revision_seq: int,
-              partitions: int = 1, event_time: Column | None = None) -> tuple[Extraction, DataFrame]:
+def run_batch(spark: SparkSession, files: DataFrame, at: Locations, revision_seq: int, partitions: int = 1,
+              event_time: Column | None = None, skip_unchanged: bool = False) -> tuple[Extraction, DataFrame]:
     """Extract ``files`` and append their events to the log as revision ``revision_seq``.
 
     The state advances only after the log was written. A batch that stops in between can be run
-    again under the same number and replaces what it left behind.
+    again under the same number and replaces what it left behind. With ``skip_unchanged`` the ids of a file are compared
+    with the stored ones only if the digests of the two sets differ; what is published is the same either way.
     """
     extraction = extract(files)
-    previous_nodes, previous_edges = previous_state(spark, extraction.files, at, revision_seq)
-    feed = materialise(change_feed(extraction, previous_nodes, previous_edges, event_time), "feed")
+    previous = state.previous_state(spark, extraction.files, at.state, revision_seq) or {}
+    if previous and skip_unchanged:
+        previous = changed_only(extraction, previous)
+    feed = materialise(change_feed(extraction, previous.get("nodes"), previous.get("edges"), event_time), "feed")
     logs.publish(feed, at.log, revision_seq, partitions)
-    commit_state(extraction, at, revision_seq)
+    state.commit_state(extraction, at.state, revision_seq)
     return extraction, feed
 
 
-def commit_state(extraction: Extraction, at: Locations, revision_seq: int) -> None:
-    """Store the ids of this batch's parsed files; the file rows come last and make them count."""
-    parsed = extraction.files.filter(F.col("status") == "PARSED")
-    tables = {"nodes": extraction.nodes, "edges": extraction.edges, "files": parsed}
-    for name, rows in tables.items():
-        rows.select(*STATE_COLUMNS[name], F.lit(C.STATE_VERSION).alias("state_version")).write.mode(
-            "overwrite").parquet(f"{at.state(name)}/revision_seq={revision_seq}")
-
-
-def _state(spark: SparkSession, at: Locations, name: str, revision_seq: int) -> DataFrame:
-    """Stored ids of earlier revisions; another state version is fatal."""
-    rows = spark.read.parquet(at.state(name)).filter(F.col("revision_seq") < revision_seq)
-    version = F.col("state_version")
-    fatal = F.raise_error(F.lit("the stored state was written by another version")).cast("int")
-    return rows.filter(F.when(version == C.STATE_VERSION, version).otherwise(fatal).isNotNull()).drop(
-        "state_version")
-
-
-def previous_state(spark: SparkSession, batch: DataFrame, at: Locations, revision_seq: int
-                   ) -> tuple[DataFrame | None, DataFrame | None]:
-    """Node and edge ids of the last parsed revision of each file of the batch."""
-    try:
-        files = _state(spark, at, "files", revision_seq)
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None, None
-    last = (
-        files.join(batch.select("file_id"), "file_id", "left_semi")
-        .groupBy("file_id").agg(F.max("revision_seq").alias("revision_seq"))
-    )
-    of_last = lambda name: _state(spark, at, name, revision_seq).join(
-        last, ["file_id", "revision_seq"], "left_semi").drop("revision_seq")
-    return of_last("nodes"), of_last("edges")
+def changed_only(extraction: Extraction, previous: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Stored rows of files whose digests are not those of the extraction."""
+    now = state.with_digests(extraction.files, extraction.nodes, extraction.edges)
+    same = now.join(previous["files"], ["file_id", "nodes_digest", "edges_digest"], "left_semi").select("file_id")
+    same = materialise(same, "unchanged")
+    return {name: rows.join(same, "file_id", "left_anti") for name, rows in previous.items()}
 
 
 def drain(spark: SparkSession, at: Locations) -> None:

@@ -14,7 +14,8 @@ from graphloom.operators import changes, checks, feed, sequence
 from graphloom.plans import derived
 from graphloom.plans.catalog import REPOSITORY, query, table
 from graphloom.plans.extract import Extraction, extract
-from graphloom.plans.pipeline import Locations, commit_state, drain, previous_state, run_batch
+from graphloom.plans.pipeline import Locations, drain, run_batch
+from graphloom.plans.state import commit_state, previous_state
 from graphloom.session import shared_folder
 from graphloom.sources import logs
 from graphloom.streaming import sinks
@@ -42,6 +43,20 @@ def revision_diff(spark, sf_dir):
         "user_id", "props", ids.sha256(F.col("revision").cast("string")).alias("content_sha256"))
 
 
+@query(f"""
+    with old as (select distinct user_id, event_type from events where ts < timestamp '{_CUT}'),
+    new as (select distinct user_id, event_type from events where ts >= timestamp '{_CUT}'),
+    differing as (select user_id from (select * from old except select * from new)
+                  union select user_id from (select * from new except select * from old))
+    select distinct user_id from events where user_id not in (select user_id from differing)""")
+def unchanged_files(spark, sf_dir):
+    """Users with the same kinds of events before and after a cut, by digests of their sets."""
+    events = table(spark, sf_dir, "events").select("user_id", "event_type", "ts")
+    cut = F.col("ts") >= F.lit(_CUT).cast("timestamp_ntz")
+    before, after = (events.filter(c).select("user_id", "event_type").distinct() for c in (~cut, cut))
+    return changes.unchanged_groups(before, after, "user_id", "event_type")
+
+
 _TIME = "2026-01-01T00:00:00.000000+00:00"
 
 
@@ -53,7 +68,7 @@ def _order_batch(spark, sf_dir):
         F.lit(REPOSITORY).alias("repository"),
         F.concat(F.lit("customer/"), F.col("c_custkey").cast("string")).alias("path"),
         ids.sha256(F.col("c_name")).alias("content_sha256"), "c_custkey",
-        F.when(F.col("c_acctbal") < 0, "FAILED").otherwise("PARSED").alias("status"),
+        "c_acctbal", F.when(F.col("c_acctbal") < 0, "FAILED").otherwise("PARSED").alias("status"),
     ).withColumn("file_id", ids.file_id(F.col("repository"), F.col("path")))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus").join(
         customers, F.col("o_custkey") == F.col("c_custkey"))
@@ -208,23 +223,22 @@ def version_guard(spark, sf_dir):
     """Earlier state is read whole if it is all of this version, and refused if some of it is not."""
     batch, _, edges = _order_batch(spark, sf_dir)
     every = batch.files.withColumn("status", F.lit("PARSED"))
+    roots = every.select("file_id", F.col("file_id").alias("node_id"))
     found = []
-    for state, other in (("one version", F.lit(False)), ("two versions", F.col("c_acctbal") < 0)):
-        at = Locations(_run_folder(spark))
-        roots = every.select("file_id", F.col("file_id").alias("node_id"))
-        commit_state(Extraction(files=every, nodes=roots, edges=edges, errors=batch.errors, metadata=batch.metadata), at, 1)
-        if state != "one version":
-            marked = table(spark, sf_dir, "customer").select(
-                ids.file_id(F.lit(REPOSITORY), F.concat(F.lit("customer/"), F.col("c_custkey").cast("string"))).alias("file_id"),
-                F.lit("").alias("node_id"),
-                F.when(other, C.STATE_VERSION + 1).otherwise(C.STATE_VERSION).alias("state_version"))
-            marked.write.mode("overwrite").parquet(f"{at.state('nodes')}/revision_seq=1")
+    for name in ("one version", "two versions"):
+        root = f"{_run_folder(spark)}/state"
+        commit_state(Extraction(files=every, nodes=roots, edges=edges, errors=batch.errors, metadata=batch.metadata), root, 1, digits=1)
+        if name != "one version":
+            marked = every.where("c_acctbal < 0").select(
+                "file_id", F.lit("").alias("node_id"), F.lit(C.STATE_VERSION + 1).alias("state_version"),
+                F.substring("file_id", 1, 1).alias("prefix"), F.lit(0).alias("slot"))
+            marked.write.mode("append").partitionBy("prefix", "slot").parquet(f"{root}/nodes")
         try:
-            found.append((state, previous_state(spark, every, at, 2)[0].count(), False))
+            found.append((name, previous_state(spark, every, root, 2)["nodes"].count(), False))
         except PySparkException as problem:
             if "another version" not in str(problem):
                 raise
-            found.append((state, None, True))
+            found.append((name, None, True))
     return spark.createDataFrame(found, "state string, files long, refused boolean")
 
 
@@ -559,12 +573,12 @@ def recompute_compare(spark, sf_dir):
 
     edited = texts(suppliers.filter("s_acctbal > 5000"), 1, 3)
     for revision, batch in enumerate((texts(suppliers, 0, 1), edited), start=1):
-        commit_state(extract(batch), at, revision)
+        commit_state(extract(batch), at.state, revision)
     again = extract(edited.unionByName(texts(suppliers.filter("not s_acctbal > 5000"), 0, 1)))
-    stored_nodes, stored_edges = previous_state(spark, again.files, at, 3)
+    stored = previous_state(spark, again.files, at.state, 3)
     side = lambda df, kind, key, name: df.select("file_id", F.lit(kind).alias("kind"), F.col(key).alias("id"), F.lit(True).alias(name))
     expected, actual = (side(n, "node", "node_id", name).unionByName(side(e, "edge", "edge_id", name)) for n, e, name in (
-        (again.nodes, again.edges, "expected"), (stored_nodes, stored_edges, "actual")))
+        (again.nodes, again.edges, "expected"), (stored["nodes"], stored["edges"], "actual")))
     both = expected.join(actual, ["file_id", "kind", "id"], "full")
     return both.groupBy("file_id").agg(
         F.count_if(F.col("expected") & (F.col("kind") == "node")).alias("nodes"),

@@ -4,9 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from graphloom import contract as C
+from graphloom.functions import ids
 from graphloom.functions.rules import with_violations
 from graphloom.operators import checks
 from graphloom.operators.feed import change_feed, run_summary
+from graphloom.plans import state
 from graphloom.plans.extract import extract, select_file
 from graphloom.plans.pipeline import Locations, drain, run_batch
 from graphloom.sources import logs
@@ -292,3 +294,68 @@ def test_sample_events(spark, tmp_path):
     log = logs.read_log(spark, str(tmp_path / "log"), C.TOPICS["metadata"])
     assert {r.key for r in log.collect()} == {"f" * 64}
     assert {r.line_count for r in sinks.documents(log).collect()} == {8, 9}
+
+
+def stored_ids(spark, files, at, revision):
+    found = state.previous_state(spark, files.select(ids.file_id(F.col("repository"), F.col("path")).alias("file_id")), at.state, revision)
+    return {name: sorted(map(tuple, rows.collect())) for name, rows in found.items()} if found else None
+
+
+def test_a_small_batch_reads_and_writes_few_partitions(spark, files_of, tmp_path):
+    """One file out of many: partition filters in the plan, other prefixes untouched, the rest of its prefix carried over."""
+    at = Locations(str(tmp_path))
+    corpus = {f"m{i}.py": f"x{i} = {i}\n" for i in range(40)}
+    state.commit_state(extract(files_of(corpus)), at.state, 1, digits=1)
+    before = stored_ids(spark, files_of(corpus), at, 2)
+    assert len(before["files"]) == 40
+    one = files_of({"m7.py": "y = 1\nz = y\n"})
+    batch = extract(one)
+    plan = state.previous_state(spark, batch.files, at.state, 2)["nodes"]._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "prefix" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    stamps = {p: p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet") if "commits" not in str(p)}
+    state.commit_state(batch, at.state, 2)
+    mine = batch.files.first().file_id[0]
+    fresh = {p.parent.parent.name for p in tmp_path.rglob("*.parquet") if p not in stamps and "commits" not in str(p)}
+    assert fresh == {f"prefix={mine}"} and all(p.stat().st_mtime_ns == t for p, t in stamps.items())
+    after = stored_ids(spark, files_of(corpus), at, 3)
+    own = {r.file_id for r in batch.files.collect()}
+    for name in before:
+        assert [r for r in after[name] if r[0] not in own] == [r for r in before[name] if r[0] not in own]
+    assert {r[1] for r in after["nodes"] if r[0] in own} == {r.node_id for r in batch.nodes.collect()}
+
+
+def test_state_of_stopped_and_repeated_batches(spark, files_of, tmp_path, monkeypatch):
+    at = Locations(str(tmp_path))
+    first, second = files_of({"a.py": "x = 1\n", "b.py": "y = x\n"}), files_of({"a.py": "", "c.py": "z = 1\n"})
+    state.commit_state(extract(first), at.state, 1, digits=1)
+    kept = stored_ids(spark, first, at, 2)
+    edited = extract(second)
+    # stopped before its commit: readers still see the first revision
+    with monkeypatch.context() as broken:
+        broken.setattr(type(spark), "createDataFrame", lambda *_, **__: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            state.commit_state(edited, at.state, 2)
+    assert stored_ids(spark, first, at, 2) == kept
+    for _ in range(2):      # run again, and once more after it was committed
+        state.commit_state(edited, at.state, 2)
+        assert stored_ids(spark, first, at, 2) == kept
+        now = stored_ids(spark, second, at, 3)
+        assert len(now["nodes"]) == 1 + 5 and len(now["edges"]) == 4      # an empty file has no edges, and none are left of it
+    state.commit_state(extract(first), at.state, 5)
+    assert stored_ids(spark, first, at, 6) == kept
+    with pytest.raises(ValueError, match="older than the stored state"):
+        state.commit_state(edited, at.state, 2)
+    # a failed file keeps its state, and so does a batch of nothing but failures
+    state.commit_state(extract(files_of({"a.py": "def broken(:\n"})), at.state, 6)
+    assert stored_ids(spark, first, at, 7) == kept
+
+
+def test_skipping_unchanged_files_publishes_the_same(spark, files_of, tmp_path):
+    corpus = {path: SOURCES[path][0] for path in ("F1.py", "F2.py")}
+    edited = {**corpus, "F2.py": corpus["F2.py"] + MARKER}
+    time, feeds = F.lit("2026-01-01T00:00:00.000000+00:00"), []
+    for skip in (False, True):
+        at = Locations(str(tmp_path / str(skip)))
+        run_batch(spark, files_of(edited), at, 1)
+        feeds.append(sorted(map(tuple, run_batch(spark, files_of(corpus), at, 2, event_time=time, skip_unchanged=skip)[1].collect())))
+    assert feeds[0] == feeds[1] and any(r[4] == C.NODE_DELETE for r in feeds[0])
