@@ -93,20 +93,53 @@ def _labelled(name: Column) -> Column:
     return F.concat(F.lit('{"label":'), quoted(name), F.lit("}"))
 
 
-def entry_edges(flat: DataFrame) -> DataFrame:
-    """Branches into a block: from its owner to the block's first statement; a projection."""
+#: An edge by position: the file's number, where its ends are in the file, and what its id and order need.
+PLACES = ("file_no", "edge_type", "source_pos", "target_pos", "properties", "ord")
+
+
+def places(df: DataFrame, edge_type: str, source: Column, target: Column, properties: Column, rank: int,
+           position: Column) -> DataFrame:
+    """Edges by position, without self loops. Positions are short and tell the nodes of a file apart, so everything that
+    is joined, sorted or counted uses them; ids are looked up last, where an event or a stored row is made."""
+    return df.select(
+        "file_no", F.lit(edge_type).alias("edge_type"), source.alias("source_pos"), target.alias("target_pos"),
+        properties.alias("properties"), (F.lit(rank).cast("long") * F.lit(1 << 33) + position.cast("long")).alias("ord"),
+    ).filter("source_pos <> target_pos")
+
+
+def with_ids(found: DataFrame, flat: DataFrame) -> DataFrame:
+    """Edges by position -> edges with the ids of their nodes and themselves, and their file's columns."""
+    # what can be an end: statements of blocks, names that are read or bound, calls and their callees
+    known = flat.filter("owners is not null or uses is not null or (parent_type = 'Call' and field = 'func')").select(
+        "file_no", "pos", node_id_column().alias("_id"))
+    for end in ("source", "target"):
+        named = known.select("file_no", F.col("pos").alias(f"{end}_pos"), F.col("_id").alias(f"{end}_id"))
+        found = found.join(named, ["file_no", f"{end}_pos"])
+    identity = ids.edge_id(*(F.col(n) for n in ("file_id", "edge_type", "source_id", "target_id", "properties")))
+    return with_envelope(found, flat).withColumn("edge_id", identity).select(*EDGE_COLUMNS)
+
+
+def _entries(flat: DataFrame) -> tuple[DataFrame, Column]:
+    """First statements of the blocks that their owner branches into, and the name of the branch."""
     owner, field = F.col("parent_type"), F.col("field")
     body, orelse = field == "body", field == "orelse"
-    name = (
-        F.when((owner == "If") & body, F.lit("branch_true"))
-        .when((owner == "If") & orelse, F.lit("branch_false"))
-        .when(owner.isin(*LOOPS) & body, F.lit("loop_enter"))
-        .when(owner.isin(*LOOPS) & orelse, F.lit("loop_exit"))
-        .when(owner.isin(*WITHS) & body, F.lit("with_enter"))
-        .when((owner == "Try") & body, F.lit("try_body"))
-        .when((owner == "ExceptHandler") & body, F.concat(
-            F.lit("except_"), F.regexp_extract("parent_path", r"\[(\d+)\]$", 1)))
+    handler = (owner == "ExceptHandler") & body
+    branches = (
+        ((owner == "If") & body, F.lit("branch_true")), ((owner == "If") & orelse, F.lit("branch_false")),
+        (owner.isin(*LOOPS) & body, F.lit("loop_enter")), (owner.isin(*LOOPS) & orelse, F.lit("loop_exit")),
+        (owner.isin(*WITHS) & body, F.lit("with_enter")), ((owner == "Try") & body, F.lit("try_body")),
+        (handler, F.concat(F.lit("except_"), F.regexp_extract("parent_path", r"\[(\d+)\]$", 1))),
     )
+    name, enters = F.lit(None).cast("string"), F.lit(False)
+    for condition, label in reversed(branches):
+        name, enters = F.when(condition, label).otherwise(name), condition | enters
+    return flat.filter(F.col("owners").isNotNull() & (F.col("index") == 0) & enters), name
+
+
+def entry_edges(flat: DataFrame) -> DataFrame:
+    """Branches into a block: from its owner to the block's first statement; a projection."""
+    firsts, name = _entries(flat)
+    owner = F.col("parent_type")
     handler = owner == "ExceptHandler"
     source = ids.node_id(
         F.col("file_id"),
@@ -114,10 +147,7 @@ def entry_edges(flat: DataFrame) -> DataFrame:
         .otherwise(F.col("parent_path")),
         F.when(handler, F.lit("Try")).otherwise(owner),
     )
-    firsts = flat.filter(F.col("owners").isNotNull() & (F.col("index") == 0)).withColumn(
-        "_label", name).filter("_label is not null")
-    return edges_of(firsts, "CFG", source, node_id_column(), _labelled(F.col("_label")), 1,
-                    F.col("parent_pos"), loops=False)
+    return edges_of(firsts, "CFG", source, node_id_column(), _labelled(name), 1, F.col("parent_pos"), loops=False)
 
 
 def file_rows(flat: DataFrame) -> DataFrame:
@@ -130,29 +160,30 @@ def with_envelope(df: DataFrame, flat: DataFrame) -> DataFrame:
     return df.join(file_rows(flat).select("file_no", *ENVELOPE), "file_no")
 
 
-def follow_edges(flat: DataFrame) -> DataFrame:
+def follow_places(flat: DataFrame) -> DataFrame:
     """``next`` edges, and false branches and loop exits that leave through the successor."""
-    statements = flat.filter("owners is not null").select(
-        "file_no", "pos", "parent_pos", "field", "index", "owners", "loop_pos", "node_type",
-        "has_orelse", node_id_column().alias("_id"))
     kind = F.col("node_type")
     name = (
         F.when((kind == "If") & ~F.col("has_orelse"), F.lit("branch_false"))
         .when(kind.isin(*LOOPS) & ~F.col("has_orelse"), F.lit("loop_exit"))
         .when(~kind.isin(*OWN_BRANCHES), F.lit("next"))
     )
+    statements = flat.filter("owners is not null").select(
+        "file_no", "pos", "parent_pos", "field", "index", "owners", "loop_pos", name.alias("_label"))
     followed = inherited_follow(
-        statements, ["file_no"], "pos", ["parent_pos", "field"], "index", "owners", "loop_pos"
-    ).withColumn("_label", name).filter("_label is not null and follow is not null")
-    targets = statements.select("file_no", F.col("pos").alias("follow"), F.col("_id").alias("_to"))
-    linked = with_envelope(followed.select("file_no", "pos", "_id", "_label", "follow").join(
-        targets, ["file_no", "follow"]), flat)
-    return edges_of(linked, "CFG", F.col("_id"), F.col("_to"), _labelled(F.col("_label")), 1,
-                    F.col("pos"))
+        statements, ["file_no"], "pos", ["parent_pos", "field"], "index", "owners", "loop_pos")
+    return places(followed.filter("_label is not null and follow is not null"), "CFG", F.col("pos"), F.col("follow"),
+                  _labelled(F.col("_label")), 1, F.col("pos"))
+
+
+def local_kinds(flat: DataFrame) -> DataFrame:
+    """(file_no, edge_type) of the edges that a row tells by itself: to its parent, and into its block."""
+    kind = lambda df, name: df.select("file_no", F.lit(name).alias("edge_type"))
+    return kind(flat.filter("parent_pos is not null"), "AST").unionByName(kind(_entries(flat)[0], "CFG"))
 
 
 def cfg_edges(flat: DataFrame) -> DataFrame:
-    return entry_edges(flat).unionByName(follow_edges(flat))
+    return entry_edges(flat).unionByName(with_ids(follow_places(flat), flat))
 
 
 def dedupe_edges(edges: DataFrame, source: str = "source_id", target: str = "target_id",

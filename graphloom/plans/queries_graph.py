@@ -169,7 +169,7 @@ def _conversation_code(spark, sf_dir):
     return rows.select(
         "*", F.col("conv_id").alias("file_no"), F.lit(REPOSITORY).alias("repository"), path.alias("path"),
         ids.file_id(F.lit(REPOSITORY), path).alias("file_id"), F.lit("").alias("content_sha256"),
-        F.lit("body").alias("field"), F.lit(False).alias("has_orelse"))
+        F.lit("body").alias("field"), F.lit(False).alias("has_orelse"), F.lit(None).alias("uses"))
 
 
 @query("""
