@@ -60,7 +60,7 @@ def phrases(part: W.Slice) -> Phrases:
     for back in range(1, WIDTH):
         at = offsets[1:-1] - back
         whole[at[(at >= 0) & (at < count)]] = False
-    first, last, trigger = [], [], []
+    first, last, trigger, at = [], [], [], []
     for a in range(0, count, _PIECE):
         b = min(count, a + _PIECE)
         bytes_ = np.concatenate([data[a:b + WIDTH - 1], np.zeros(8, np.uint8)])
@@ -83,9 +83,14 @@ def phrases(part: W.Slice) -> Phrases:
         first.append(begins + a)
         last.append(np.flatnonzero(end) + a)
         trigger.append(hashed[least[begins].astype(np.int64)])
-    first, last = np.concatenate(first), np.concatenate(last)
+        at.append(least[begins].astype(np.int64) + a)
+    first, last, trigger, at = (np.concatenate(c) for c in (first, last, trigger, at))
+    # a phrase that a piece's end cut in two is one phrase: where pieces end depends on what else is in the slice
+    new = np.ones(len(first), bool)
+    new[1:] = (first[1:] != last[:-1] + 1) | (at[1:] != at[:-1])
+    first, last, trigger = first[new], last[np.append(new[1:], True)], trigger[new]
     digest = W.span_hashes(data, first, last + WIDTH) & np.uint64((1 << 8 * _X) - 1)
-    return Phrases(np.searchsorted(offsets, first, "right") - 1, first, last, np.concatenate(trigger), digest)
+    return Phrases(np.searchsorted(offsets, first, "right") - 1, first, last, trigger, digest)
 
 
 def _low(values: np.ndarray, size: int) -> bytes:
@@ -162,10 +167,10 @@ def parse(buckets: int):
                 documents, (packed,) = _by_document(i, (d, _X))
                 if len(documents):
                     yield _asked(bucket=(documents % buckets).astype(np.int32), doc_id=documents, **{name: packed})
-            place = ((trigger >> np.uint64(44)) % np.uint64(buckets)).astype(np.int64)
+            place = ((trigger >> np.uint64(24)) % np.uint64(buckets)).astype(np.int64)
             marks, marked = np.unique(trigger[hot]), np.empty(0, np.int64)
             if len(marks):
-                marked = ((marks >> np.uint64(44)) % np.uint64(buckets)).astype(np.int64)
+                marked = ((marks >> np.uint64(24)) % np.uint64(buckets)).astype(np.int64)
             ids, trigger, digest, place = ids[~hot], trigger[~hot], digest[~hot], place[~hot]
             order = np.lexsort((ids, place))
             ids, trigger, digest, place = ids[order], trigger[order], digest[order], place[order]
@@ -296,7 +301,7 @@ def dictionary(buckets: int):
             loose = _chosen(found, rows.column(3).to_pylist(), n)
             # a phrase that a text has twice is wanted once
             at = _once(np.flatnonzero(mixed), ids, found.digest)
-            place = ((found.trigger[at] >> np.uint64(44)) % np.uint64(buckets)).astype(np.int64)
+            place = ((found.trigger[at] >> np.uint64(24)) % np.uint64(buckets)).astype(np.int64)
             yield from _send(part.data, place, ids[at], found.digest[at], np.zeros(len(at), np.int64), found.first[at],
                              found.last[at] - found.first[at] + WIDTH)
             at = _once(np.flatnonzero(loose), ids, found.digest)
