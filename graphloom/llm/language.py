@@ -58,12 +58,14 @@ def letters_of(text: str | None) -> bytes:
 
 
 def _fill(pieces: list[bytes]) -> bytes:
-    """Equal parts of as many pieces as there are, up to the size of a dictionary."""
-    each = max(128, DICTIONARY_BYTES // max(1, len(pieces)))
-    parts = [p[:each] for p in pieces]
-    spare = DICTIONARY_BYTES - sum(map(len, parts))
-    parts += [p[each:each + max(0, spare // max(1, len(pieces)))] for p in pieces]
-    return b" ".join(p for p in parts if p)[:DICTIONARY_BYTES].ljust(16)
+    """A part of every piece, as long for each as the size of a dictionary allows; what short ones leave goes to longer ones."""
+    each, spare = 0, DICTIONARY_BYTES - len(pieces)         # a space between two
+    for left, size in zip(range(len(pieces), 0, -1), sorted(map(len, pieces)), strict=True):
+        each = min(size, spare // left)
+        if each < size:
+            break
+        spare -= size
+    return b" ".join(p[:each] for p in pieces if p)[:DICTIONARY_BYTES].ljust(16)
 
 
 def predict(documents: DataFrame, dictionaries: dict[str, bytes], text: str = "text",
