@@ -80,10 +80,11 @@ base AS ({_places("assign", 0, _ASSIGN, "v[i]", 6)} UNION ALL {_places("access",
 tokens AS (SELECT * FROM ({_places("owned", 3, "[A-Za-z0-9+/_=-]{20,}", "m[i]", 0)}) WHERE regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]')),
 free AS (SELECT * FROM tokens t WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = t.doc_id AND b.start < t.stop AND t.start < b.stop)),
 every AS (SELECT * FROM base UNION ALL SELECT * FROM free),
-owned AS (SELECT value, count(DISTINCT coalesce(owner, '?')) AS n_owners FROM every JOIN texts USING (doc_id) GROUP BY value),
+owned AS (SELECT value, count(DISTINCT coalesce(owner, '?')) AS n_owners, count(DISTINCT repository) AS n_repositories
+          FROM every JOIN texts USING (doc_id) GROUP BY value),
 judged AS (
-  SELECT every.*, n_owners >= 3 AS example,
-         n_owners < 3 AND len(list_distinct(string_split(value, ''))) >= 10 AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]') AS live
+  SELECT every.*, n_owners >= 3 AND n_repositories >= 3 AS example, n_repositories >= 3 AS spread,
+         NOT (n_owners >= 3 AND n_repositories >= 3) AND len(list_distinct(string_split(value, ''))) >= 10 AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]') AS live
   FROM every JOIN owned USING (value)),
 shown AS (SELECT * FROM judged WHERE k < 3 OR live),
 based AS (
@@ -91,20 +92,20 @@ based AS (
          string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, k) AS listed FROM base GROUP BY 1),
 spanned AS (
   SELECT doc_id, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, k) AS listed,
-         count(*) FILTER (live) AS n_live, count(*) FILTER (example) AS n_example FROM shown GROUP BY 1)
+         count(*) FILTER (live) AS n_live, count(*) FILTER (example) AS n_example, count(*) FILTER (live AND spread) AS n_shared FROM shown GROUP BY 1)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
        sha256(coalesce(based.listed, '')) AS base_sha256, coalesce(spanned.listed, '') AS spans,
-       coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+       coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example, coalesce(n_shared, 0) AS n_shared
 FROM documents LEFT JOIN based USING (doc_id) LEFT JOIN spanned USING (doc_id)
 """)
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Patterned spans of every text, and tokens that only one or two sources have."""
+    """Patterned spans of every text, and tokens that are not widely copied: a repository is a source's part in one language."""
     repository = F.concat(F.coalesce("source", F.lit("")), F.lit("/"), F.coalesce("lang", F.lit("")))
     found = secrets.scan(table(spark, sf_dir, "documents"), repository, F.col("source"))
     counts = [F.size(F.array_remove("base.kind", k)) for k in range(len(secrets.BASE))]
     counts = [(F.size("base") - n).cast("long").alias(f"n_{kind}") for n, (kind, *_) in zip(counts, secrets.BASE, strict=True)]
     return found.select("doc_id", *counts, F.sha2(secrets.listed(F.col("base")), 256).alias("base_sha256"),
-                        secrets.listed(F.col("spans")).alias("spans"), "n_live", "n_example")
+                        secrets.listed(F.col("spans")).alias("spans"), "n_live", "n_example", "n_shared")
 
 
 @query()

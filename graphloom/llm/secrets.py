@@ -23,6 +23,8 @@ OWNED = "owned"
 KINDS = (*(kind for kind, *_ in BASE), OWNED)
 #: A value of this many owners is an example.
 EXAMPLE_OWNERS = 3
+#: A value of fewer owners in at least this many repositories is a key that its owner shares between them.
+EXAMPLE_REPOSITORIES = 3
 #: A token looks live with this many different characters, a digit and a letter.
 LIVE_CHARACTERS = 10
 
@@ -80,12 +82,13 @@ def ownership(found: DataFrame) -> DataFrame:
 
 
 def scan(documents: DataFrame, repository: Column, owner: Column, doc_id: str = "doc_id", text: str = "text",
-         example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
-    """(doc_id, base, spans, n_live, n_example) per document row; spans are structs of start, kind and end.
+         example_owners: int = EXAMPLE_OWNERS, example_repositories: int = EXAMPLE_REPOSITORIES) -> DataFrame:
+    """(doc_id, base, spans, n_live, n_example, n_shared) per document row; spans are structs of start, kind and end.
 
     ``spans`` are the patterned spans and owner-specific tokens that overlap none of them, by start and kind.
-    ``n_example`` counts spans whose value at least ``example_owners`` owners have, ``n_live`` the others that look
-    random. Null texts are empty and have no spans; rows with equal ids are rows of their own; an empty table gives an
+    ``n_example`` counts spans whose value at least ``example_owners`` owners have in at least ``example_repositories``
+    repositories, ``n_live`` the others that look random, and ``n_shared`` those of them that fewer owners have in as many
+    repositories: one key in several places. Null texts are empty and have no spans; rows with equal ids are rows of their own; an empty table gives an
     empty result. Other columns are ignored.
     """
     rows = materialise(candidates(documents, text, {
@@ -94,18 +97,20 @@ def scan(documents: DataFrame, repository: Column, owner: Column, doc_id: str =
     every = (rows.select("row", "repository", "owner", F.explode(F.concat("base", free)).alias("s"))
              .select("row", "repository", "owner", "s.*"))
     judged = every.join(ownership(every), "digest")
-    example = F.col("n_owners") >= example_owners
+    spread = F.col("n_repositories") >= example_repositories
+    example = (F.col("n_owners") >= example_owners) & spread
     added = (F.col("kind") == KINDS.index(OWNED)) & ~example & F.col("live")
     shown = (F.col("kind") != KINDS.index(OWNED)) | added
     by_row = judged.where(shown).groupBy("row").agg(
         F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("spans"),
         F.sum(example.cast("long")).alias("n_example"),
-        F.sum((~example & F.col("live")).cast("long")).alias("n_live"))
+        F.sum((~example & F.col("live")).cast("long")).alias("n_live"),
+        F.sum((~example & F.col("live") & spread).cast("long")).alias("n_shared"))
     plain = F.transform("base", lambda s: F.struct(s["start"], s["kind"], s["end"]))
     return rows.join(by_row, "row", "left").select(
         "doc_id", plain.cast("array<struct<start:int,kind:int,end:int>>").alias("base"),
         F.coalesce("spans", F.array().cast("array<struct<start:int,kind:int,end:int>>")).alias("spans"),
-        F.coalesce("n_live", F.lit(0)).alias("n_live"), F.coalesce("n_example", F.lit(0)).alias("n_example"))
+        *(F.coalesce(c, F.lit(0)).alias(c) for c in ("n_live", "n_example", "n_shared")))
 
 
 def masked(documents: DataFrame, spans: str, text: str = "text", mark: str = "[secret]") -> DataFrame:
