@@ -2,13 +2,14 @@
 
 Test windows (normalised n-grams) become sorted arrays of 64-bit hashes that every task gets; documents are
 scanned once. Each hit is verified on the words themselves, so a hash collision never counts. The broadcast
-holds at most ``block_windows`` windows: a larger benchmark is split into blocks of items, each block is one
+holds at most ``block_windows`` windows of ``block_bytes`` bytes: a larger benchmark is split into blocks of items, each block is one
 more scan of the documents, and the hits of a document are united afterwards.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,6 +21,7 @@ from graphloom.llm.common import materialise
 
 WINDOW = 10
 BLOCK_WINDOWS = 2_000_000
+BLOCK_BYTES = 64 << 20
 _FILTER_BITS = 22
 
 FOUND = "doc_id {id}, n_words long, hits binary, items array<string>, digest binary"
@@ -97,7 +99,7 @@ def scan(documents: DataFrame, windows: list, doc_id: str, text: str) -> DataFra
 
 def contamination(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
                   item_id: str = "item_id", item_text: str = "text", window: int = WINDOW,
-                  block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+                  block_windows: int = BLOCK_WINDOWS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, n_words, hits, items, digest) per document row: ``hits`` is empty, or has a 1 for each hit word.
 
     ``digest`` is the SHA-256 of a text that has hits: hits depend on the text alone, so id and digest tell which rows
@@ -109,10 +111,13 @@ def contamination(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc
     """
     spark = documents.sparkSession
     windows = materialise(test_windows(benchmark, item_id, item_text, window), "test-windows")
-    total = windows.count()
-    if total <= block_windows:
+    # a phrase takes its words and its items' names
+    total, size = windows.agg(F.count(F.lit(1)), F.coalesce(F.sum(
+        F.octet_length("words").cast("long") + F.coalesce(F.octet_length("item_id"), F.lit(0))), F.lit(0))).first()
+    share = max(total / block_windows, size / block_bytes)
+    if share <= 1:
         return scan(documents, [tuple(r) for r in windows.collect()], doc_id, text)
-    blocks = -(-total // block_windows) * 2
+    blocks = math.ceil(share) * 2
     # the blocks' hits meet again by row: ids may repeat
     rows = materialise(documents.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"),
                                         F.col(text).cast("string").alias("text")), "scanned")
