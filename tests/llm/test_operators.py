@@ -73,6 +73,33 @@ def test_language(spark, edges, nothing):
     assert language.predict(edges, {}).where("lang_pred <> 'und'").count() == 0
 
 
+def test_dictionaries_hold_a_part_of_every_piece():
+    pieces = [f"{i:04d}".encode().translate(bytes.maketrans(b"0123456789", b"abcdefghij")) * 400 for i in range(1000)]
+    filled = language._fill(pieces)
+    assert len(filled) <= language.DICTIONARY_BYTES and all(p[:8] in filled for p in pieces)
+    assert language._fill([b"ab" * 9]) == b"ab" * 9
+
+
+def plain_language(text, dictionaries):
+    """Sizes of a text by one compressor a language, in a loop."""
+    import zstandard
+
+    letters = language.letters_of(text)
+    sizes = {}
+    for name, content in sorted(dictionaries.items()):
+        held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        sizes[name] = sum(len(zstandard.ZstdCompressor(level=language.LEVEL, dict_data=held, write_content_size=False).compress(
+            letters[i:i + language.PIECE_BYTES])) for i in range(0, len(letters), language.PIECE_BYTES))
+    return min(sizes, key=lambda k: (sizes[k], k)) if re.search(r"[^\W\d_]", text or "") else "und"
+
+
+def test_language_against_a_plain_version(spark, documents):
+    learned = language.fit(documents)
+    texts = dict(documents.select("doc_id", "text").limit(80).collect())
+    got = {r.doc_id: r.lang_pred for r in language.predict(documents, learned).collect()}
+    assert {i: got[i] for i in texts} == {i: plain_language(t, learned) for i, t in texts.items()}
+
+
 def test_language_held_out(spark):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
     got = queries.op1_language(spark, "/root/testdata/sf0.01").join(table, "doc_id").where("held_out")
@@ -161,6 +188,11 @@ def test_secrets(spark, edges, nothing):
     assert spans[5] == [(16, 2, 40), (41, 0, 67)]       # "secret: token" is used up by a value that is too short
     assert spans[6] == [(0, 1, 20)]
     assert got[1][3] == 0 and got[2][3] == 0 and got[5][2] >= 1
+    # one owner's key in three repositories is shared between them; repositories of the same name under two owners are two
+    one = spark.createDataFrame([(i, own, f"r{i}", "a") for i in range(3)] + [(9, shared, "r", f"o{i}") for i in range(2)],
+                                "doc_id long, text string, r string, o string")
+    counts = [(r.n_live, r.n_example, r.n_shared) for r in secrets.scan(one, F.col("r"), F.col("o")).orderBy("doc_id").collect()]
+    assert counts == [(1, 0, 1)] * 3 + [(1, 0, 0)] * 2
     assert secrets.scan(edges, F.col("source"), F.col("source")).count() == edges.count()
     assert secrets.scan(nothing, F.col("source"), F.col("source")).count() == 0
     text = spark.createDataFrame(rows, "doc_id long, text string, s string").join(
@@ -208,6 +240,28 @@ def test_repeats_twice_in_the_least_document_of_a_slice(spark, monkeypatch):
     assert removal(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)) == plain_removal(rows)
 
 
+def test_repeats_across_the_ends_of_pieces_and_slices(spark, monkeypatch):
+    """Phrases are the same wherever pieces of a slice end and whatever else is in it."""
+    monkeypatch.setattr(repeats, "_PIECE", 64)
+    passage = "This agreement is made between the parties named below and holds for ever. "
+    for limit, seed in ((700, 1), (1500, 2), (1 << 20, 3)):
+        monkeypatch.setattr(repeats, "SLICE", limit)
+        rows = [(i, prose(random.Random(seed * 99 + i).randint(1, 60), 900 + i) + passage[i % 11:i % 11 + 50 + i % 20] + prose(5, 800 + i))
+                for i in range(50)]
+        rows += [(100 + i, rows[i][1][:400] + prose(9, 700 + i)) for i in range(20)] + [(200, "".join(r[1] for r in rows[:30]))]
+        assert removal(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)) == plain_removal(rows)
+
+
+def test_phrases_do_not_depend_on_pieces(monkeypatch):
+    text = prose(3000, 77).encode()
+    data, offsets = np.frombuffer(text, np.uint8), np.array([0, 5000, 5020, len(text)])
+    whole = repeats.phrases(repeats.W.Slice(0, data, offsets))
+    for piece in (50, 64, 1000, 4999):
+        monkeypatch.setattr(repeats, "_PIECE", piece)
+        for got, expected in zip(repeats.phrases(repeats.W.Slice(0, data, offsets)), whole, strict=True):
+            assert np.array_equal(got, expected)
+
+
 # --- 5 ---------------------------------------------------------------------------------------------------------------
 
 def test_chat(spark):
@@ -278,9 +332,9 @@ def test_leaks(spark, edges, nothing):
     assert found[0] == (0, 0, []) and found[10][1] == 0
     # repeated ids stay rows of their own, in one block and in several
     again = edges.unionByName(edges.where("doc_id = 4").withColumn("text", F.lit("four three two")))
-    one, several = (sorted((str(r["doc_id"]), r["n_words"], bytes(r["hits"]), r["items"]) for r in leaks.contamination(
-        again, tests, block_windows=n).collect()) for n in (1000, 20))
-    assert several == one and len(one) == again.count()
+    one, several, small = (sorted((str(r["doc_id"]), r["n_words"], bytes(r["hits"]), r["items"]) for r in leaks.contamination(
+        again, tests, block_windows=n, block_bytes=b).collect()) for n, b in ((1000, 1 << 20), (20, 1 << 20), (1000, 900)))
+    assert several == one and small == one and len(one) == again.count()
     assert leaks.contamination(nothing, tests).count() == 0
     assert leaks.contamination(edges, tests.limit(0)).where("octet_length(hits) > 0").count() == 0
     kept = leaks.remove_documents(edges, leaks.contamination(edges, tests))
