@@ -1,7 +1,7 @@
 """Integrity, reconciliation and replay checks as aggregates that give report rows.
 
-Counts of distinct ids are two-step aggregates, comparisons are anti or outer joins of distinct
-keys, and verdicts are one row; lists in a report hold differences, whose number is also given.
+Integrity reports tag the ids of all their tables, group them by id once and read every figure off that; comparisons
+are anti or outer joins of distinct keys, and verdicts are one row; lists in a report hold differences, whose number is also given.
 """
 
 from __future__ import annotations
@@ -12,17 +12,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from graphloom import contract as C
-from graphloom.operators.changes import compare_sets, missing_from
+from graphloom.operators.changes import compare_sets
 
 
 # --- fixed values: texts of the mismatches in a report -------------------------------
-DIFFERS = "{name}: expected {expected}, got "
-DUPLICATES = "duplicate {key} values detected"
-EDGES_OF_TYPE = "{kind} edges"
-OTHER_ID = ("_id != file_id for ", " documents")
-MISSING_FILES = " manifest files are missing"
-UNEXPECTED_DOCUMENTS = " unexpected documents exist"
-ABSENT_FIELD = ("{field} is absent in ", " documents")
+DIFFERS = "%s: expected %s, got %s"
+DUPLICATES = "duplicate %s values detected"
+EDGES_OF_TYPE = "%s edges"
+OTHER_ID = "_id != file_id for %s documents"
+MISSING_FILES = "%s manifest files are missing"
+UNEXPECTED_DOCUMENTS = "%s unexpected documents exist"
+ABSENT_FIELD = "%s is absent in %s documents"
 # -------------------------------------------------------------------------------------
 
 
@@ -65,11 +65,6 @@ def missing_fields(df: DataFrame, fields: Sequence[str]) -> DataFrame:
     return counted.select(F.inline(entries))
 
 
-def missing_endpoints(edges: DataFrame, nodes: DataFrame, end: str, key: str) -> DataFrame:
-    """Distinct endpoints that are no node."""
-    return missing_from(edges.select(F.col(end).alias(key)).distinct(), nodes, [key])
-
-
 def one_row(*reports: DataFrame) -> DataFrame:
     """Side by side columns of one-row reports: their union, reduced to the values present."""
     merged = reports[0]
@@ -78,41 +73,82 @@ def one_row(*reports: DataFrame) -> DataFrame:
     return merged.agg(*(F.max(name).alias(name) for name in merged.columns))
 
 
+def tagged_ids(df: DataFrame, tags: Sequence[tuple[str, str, int]], flags: Mapping[str, Column] | None = None) -> DataFrame:
+    """(space, id, mask) for each row of ``df`` and each (space, column, mask) of ``tags``; the first tag's rows also
+    count the ``flags`` of their row. Ids are compared within their space only. One scan."""
+    flags = flags or {}
+    none = F.lit(0)
+    entry = lambda i, space, column, mask: F.struct(
+        F.lit(space).alias("space"), F.col(column).cast("string").alias("id"), F.lit(mask).alias("mask"),
+        *(F.coalesce(flag.cast("int"), none).alias(name) if i == 0 else none.alias(name) for name, flag in flags.items()))
+    return df.select(F.inline(F.array(*(entry(i, *tag) for i, tag in enumerate(tags)))))
+
+
+def census(*parts: DataFrame) -> DataFrame:
+    """One row per (space, id) of tagged ids: how often it comes with each bit of its masks (``n1``, ``n2``, ``n4``), and
+    its flags. A partial aggregate: an id with very many rows is one row a task before the only shuffle."""
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    flags = [c for c in rows.columns if c not in ("space", "id", "mask")]
+    bits = [F.count_if(F.col("mask") == bit).alias(f"n{bit}") for bit in (1, 2, 4)]
+    return rows.groupBy("space", "id").agg(*bits, *(F.sum(f).alias(f) for f in flags))
+
+
+def _in(space: str, condition: str = "true") -> Column:
+    return F.count_if((F.col("space") == space) & F.expr(condition))
+
+
+def _rows_in(space: str) -> Column:
+    return F.coalesce(F.sum(F.when(F.col("space") == space, F.col("n1"))), F.lit(0))
+
+
+def _total_and_distinct(space: str, total: str, distinct: str) -> list[Column]:
+    return [_rows_in(space).alias(total), _in(space, "n1 > 0 and id is not null").alias(distinct)]
+
+
+def _graph_ids(nodes: DataFrame, edges: DataFrame, node_flags: Mapping[str, Column] | None = None,
+               edge_flags: Mapping[str, Column] | None = None) -> list[DataFrame]:
+    """Ids of nodes (mask 1) and of the ends of edges (2 and 4) in one space, ids of edges in another."""
+    return [
+        tagged_ids(nodes, [("node", "node_id", 1)], node_flags),
+        tagged_ids(edges, [("edge", "edge_id", 1), ("node", "source_id", 2), ("node", "target_id", 4)], edge_flags),
+    ]
+
+
 def corpus_integrity(nodes: DataFrame, edges: DataFrame, metadata: DataFrame, errors: DataFrame,
                      expected_files: int) -> DataFrame:
-    """Unique ids, complete endpoints, all files present and no errors: PASS or FAIL."""
-    report = one_row(
-        totals(nodes, "node_id", "node"), totals(edges, "edge_id", "edge"),
-        totals(metadata, "file_id", "metadata"), errors.agg(F.count("*").alias("error_events")),
-        missing_endpoints(edges, nodes, "source_id", "node_id").agg(
-            F.count("*").alias("missing_edge_sources")),
-        missing_endpoints(edges, nodes, "target_id", "node_id").agg(
-            F.count("*").alias("missing_edge_targets")),
-    )
-    renamed = {
-        "node_total": "node_events", "node_distinct": "distinct_node_ids",
-        "edge_total": "edge_events", "edge_distinct": "distinct_edge_ids",
-        "metadata_total": "metadata_events", "metadata_distinct": "distinct_metadata_file_ids",
-    }
+    """Unique ids, complete endpoints, all files present and no errors: PASS or FAIL. One scan of each table and one
+    shuffle, by id."""
+    found = census(
+        *_graph_ids(nodes, edges), tagged_ids(metadata, [("file", "file_id", 1)]),
+        tagged_ids(errors.select(F.lit("").alias("any")), [("error", "any", 1)]))
+    missing = "n1 = 0 and id is not null and {} > 0".format
+    report = found.agg(
+        *_total_and_distinct("node", "node_events", "distinct_node_ids"),
+        *_total_and_distinct("edge", "edge_events", "distinct_edge_ids"),
+        *_total_and_distinct("file", "metadata_events", "distinct_metadata_file_ids"),
+        _rows_in("error").alias("error_events"),
+        _in("node", missing("n2")).alias("missing_edge_sources"), _in("node", missing("n4")).alias("missing_edge_targets"))
     good = F.expr(
         "node_events = distinct_node_ids and edge_events = distinct_edge_ids and error_events = 0 "
         "and missing_edge_sources = 0 and missing_edge_targets = 0"
     ) & (F.col("metadata_events") == expected_files) & (
         F.col("distinct_metadata_file_ids") == expected_files)
-    return report.withColumnsRenamed(renamed).withColumn(
-        "status", F.when(good, "PASS").otherwise("FAIL"))
+    return report.withColumn("status", F.when(good, "PASS").otherwise("FAIL"))
 
 
 def graph_snapshot(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Counts of a stored graph: totals, distinct ids, placeholders, edges by type."""
-    by_type = edges.agg(*(F.count_if(F.col("edge_type") == k).alias(k) for k in C.EDGE_TYPES))
-    return one_row(
-        totals(nodes, "node_id", "node"), totals(edges, "edge_id", "edge"),
-        nodes.agg(F.count_if(F.col("node_type").isNull()).alias("placeholder_nodes")), by_type,
-    ).withColumnsRenamed({
-        "node_total": "total_nodes", "node_distinct": "distinct_node_ids",
-        "edge_total": "total_edges", "edge_distinct": "distinct_edge_ids",
-    })
+    """Counts of a stored graph: totals, distinct ids, placeholders, edges by type. One scan of each table, one shuffle."""
+    kinds = {k: F.col("edge_type") == k for k in C.EDGE_TYPES}
+    found = census(
+        tagged_ids(nodes, [("node", "node_id", 1)], {"placeholder_nodes": F.col("node_type").isNull()}),
+        tagged_ids(edges, [("edge", "edge_id", 1)], kinds))
+    flag = lambda name: F.coalesce(F.sum(name), F.lit(0)).alias(name)
+    return found.agg(
+        *_total_and_distinct("node", "total_nodes", "distinct_node_ids"),
+        *_total_and_distinct("edge", "total_edges", "distinct_edge_ids"),
+        flag("placeholder_nodes"), *(flag(k) for k in kinds))
 
 
 def file_counts(nodes: DataFrame, edges: DataFrame, file_id: str) -> DataFrame:
@@ -165,8 +201,8 @@ def verdict(report: DataFrame, problems: Sequence[Column]) -> DataFrame:
 def expected_value(name: str, expected: object, shown: str | None = None) -> Column:
     """A problem text when a column differs from its expected value."""
     differs = F.coalesce(F.col(name) != F.lit(expected), F.lit(True))
-    return F.when(differs, F.concat(
-        F.lit(DIFFERS.format(name=shown or name, expected=expected)), F.coalesce(F.col(name).cast("string"), F.lit("null"))))
+    return F.when(differs, F.format_string(
+        DIFFERS, F.lit(shown or name), F.lit(str(expected)), F.coalesce(F.col(name).cast("string"), F.lit("null"))))
 
 
 def problem(condition: Column, message: str | Column) -> Column:
@@ -175,11 +211,11 @@ def problem(condition: Column, message: str | Column) -> Column:
 
 def verify_graph(nodes: DataFrame, edges: DataFrame, expected: Mapping[str, int]) -> DataFrame:
     """Stored graph against expected counts (any of the snapshot's columns), plus unique ids."""
-    shown = {k: EDGES_OF_TYPE.format(kind=k) for k in C.EDGE_TYPES}
+    shown = {k: EDGES_OF_TYPE % k for k in C.EDGE_TYPES}
     problems = [expected_value(name, value, shown.get(name)) for name, value in expected.items()]
     problems += [
-        problem(F.expr("total_nodes <> distinct_node_ids"), DUPLICATES.format(key="node_id")),
-        problem(F.expr("total_edges <> distinct_edge_ids"), DUPLICATES.format(key="edge_id")),
+        problem(F.expr("total_nodes <> distinct_node_ids"), DUPLICATES % "node_id"),
+        problem(F.expr("total_edges <> distinct_edge_ids"), DUPLICATES % "edge_id"),
     ]
     return verdict(graph_snapshot(nodes, edges), problems)
 
@@ -188,40 +224,27 @@ REQUIRED_DOCUMENT_FIELDS = ("path", "content_sha256", "kafka_partition", "kafka_
 
 
 def verify_documents(documents: DataFrame, manifest: DataFrame, expected: int) -> DataFrame:
-    """Stored documents against the manifest, both ways."""
-    differences = compare_sets(
-        manifest.select(F.col("file_id").alias("_id")), documents, "_id").agg(
-        F.count_if(F.col("difference") == "missing").alias("missing_manifest_file_ids"),
-        F.count_if(F.col("difference") == "stale").alias("unexpected_document_ids"))
-    per_file = documents.groupBy("file_id").agg(F.count("*").alias("_n"))
-    counted = documents.agg(
-        F.count("*").alias("total_documents"),
-        F.count_if(F.col("_id") != F.col("file_id")).alias("id_file_id_mismatches"),
-        *(F.count_if(F.col(f).isNull()).alias(f"missing_{f}") for f in REQUIRED_DOCUMENT_FIELDS))
-    report = one_row(
-        counted,
-        per_file.agg(F.count("file_id").alias("distinct_file_ids"),
-                     F.count_if(F.col("_n") > 1).alias("duplicate_file_ids")),
-        documents.select("_id").distinct().agg(F.count("*").alias("distinct_document_ids")),
-        differences,
-    )
-    text = lambda name, words: F.concat(F.col(name).cast("string"), F.lit(words))
+    """Stored documents against the manifest, both ways. One scan of each table, one shuffle by id."""
+    absent = {f"missing_{f}": F.col(f).isNull() for f in REQUIRED_DOCUMENT_FIELDS}
+    flags = {"id_file_id_mismatches": F.col("_id") != F.col("file_id"), **absent}
+    found = census(
+        tagged_ids(documents, [("document", "_id", 1), ("file", "file_id", 1)], flags),
+        tagged_ids(manifest, [("document", "file_id", 2)]))
+    report = found.agg(
+        _rows_in("document").alias("total_documents"),
+        *(F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in flags),
+        _in("file", "id is not null").alias("distinct_file_ids"), _in("file", "n1 > 1").alias("duplicate_file_ids"),
+        _in("document", "n1 > 0").alias("distinct_document_ids"),
+        _in("document", "n1 = 0").alias("missing_manifest_file_ids"), _in("document", "n2 = 0").alias("unexpected_document_ids"))
+    some = lambda name, text, *before: problem(F.col(name) > 0, F.format_string(text, *map(F.lit, before), F.col(name)))
     problems = [expected_value(n, expected) for n in (
         "total_documents", "distinct_file_ids", "distinct_document_ids")]
     problems += [
-        problem(F.col("id_file_id_mismatches") > 0, F.concat(
-            F.lit(OTHER_ID[0]), text("id_file_id_mismatches", OTHER_ID[1]))),
-        problem(F.col("duplicate_file_ids") > 0, DUPLICATES.format(key="file_id")),
-        problem(F.col("missing_manifest_file_ids") > 0,
-                text("missing_manifest_file_ids", MISSING_FILES)),
-        problem(F.col("unexpected_document_ids") > 0,
-                text("unexpected_document_ids", UNEXPECTED_DOCUMENTS)),
-    ]
-    problems += [
-        problem(F.col(f"missing_{f}") > 0, F.concat(
-            F.lit(ABSENT_FIELD[0].format(field=f)), text(f"missing_{f}", ABSENT_FIELD[1])))
-        for f in REQUIRED_DOCUMENT_FIELDS
+        some("id_file_id_mismatches", OTHER_ID),
+        problem(F.col("duplicate_file_ids") > 0, DUPLICATES % "file_id"),
+        some("missing_manifest_file_ids", MISSING_FILES), some("unexpected_document_ids", UNEXPECTED_DOCUMENTS),
     ]
+    problems += [some(f"missing_{f}", ABSENT_FIELD, f) for f in REQUIRED_DOCUMENT_FIELDS]
     return verdict(report, problems)
 
 
@@ -242,11 +265,13 @@ def singletons(documents: DataFrame) -> DataFrame:
 
 def verify_idempotency(nodes: DataFrame, edges: DataFrame, documents: DataFrame, file_id: str) -> DataFrame:
     """No duplicate id in any sink, and exactly one document for the file."""
-    report = one_row(
-        duplicate_count(nodes, "node_id").withColumnRenamed("duplicate_ids", "duplicate_node_ids"),
-        duplicate_count(edges, "edge_id").withColumnRenamed("duplicate_ids", "duplicate_edge_ids"),
-        singleton(documents, file_id),
-    )
+    mine = lambda column: F.col(column) == file_id
+    found = census(
+        tagged_ids(nodes, [("node", "node_id", 1)]), tagged_ids(edges, [("edge", "edge_id", 1)]),
+        tagged_ids(documents, [("document", "_id", 1)], {"count_by_id": mine("_id"), "count_by_file_id": mine("file_id")}))
+    report = found.agg(
+        _in("node", "n1 > 1").alias("duplicate_node_ids"), _in("edge", "n1 > 1").alias("duplicate_edge_ids"),
+        *(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in ("count_by_id", "count_by_file_id")))
     return verdict(report, [
         expected_value("duplicate_node_ids", 0), expected_value("duplicate_edge_ids", 0),
         expected_value("count_by_id", 1), expected_value("count_by_file_id", 1),
