@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from graphloom import contract as C
@@ -333,11 +333,19 @@ def snapshot_difference(before: DataFrame, after: DataFrame, columns: Sequence[s
 
 def walks(edges: DataFrame, start: DataFrame, source: str, target: str, key: str,
           limit: int | None = 100) -> DataFrame:
-    """Paths of one or two edges from the ``start`` nodes (column ``node``), no edge used twice."""
+    """Paths of one or two edges from the ``start`` nodes (column ``node``), no edge used twice.
+
+    With a ``limit``, the first paths by hops and edge keys: of a middle node's edges only the first ``limit`` + 1 can be in
+    them (one may be the edge it was reached by), so no more are joined, however many a hub has.
+    """
     first = edges.join(start.select(F.col("node").alias(source)), source).select(
         F.col(source).alias("start"), F.col(key).alias("edge_1"), F.col(target).alias("middle"))
     second = edges.select(
         F.col(source).alias("middle"), F.col(key).alias("edge_2"), F.col(target).alias("end"))
+    if limit:
+        nearest = Window.partitionBy("middle").orderBy("edge_2")
+        second = second.join(first.select("middle").distinct(), "middle", "left_semi").withColumn(
+            "_n", F.row_number().over(nearest)).where(F.col("_n") <= limit + 1).drop("_n")
     one = first.select("start", "edge_1", F.lit(None).cast(edges.schema[key].dataType).alias("edge_2"),
                        F.col("middle").alias("end"))
     two = first.join(second, "middle").filter("edge_1 <> edge_2").select(

@@ -174,11 +174,13 @@ def feed_order(spark, sf_dir):
            count(*) as records, count(distinct key) as keys
     from all_events group by 1""")
 def log_topics(spark, sf_dir):
-    """The feed as log records: their topics, and that no two records share an offset."""
+    """The feed as log records by topic. Only records of keys whose offsets follow the order of their events count."""
     records = logs.log_records(_order_revision(spark, sf_dir), 1, partitions=4)
-    per_key = records.groupBy("topic", "key").agg(
-        F.count("*").alias("n"), F.min("partition").alias("low"), F.max("partition").alias("high"))
-    whole = F.when(F.col("low") == F.col("high"), F.col("n"))
+    rank = F.element_at(F.create_map(*(F.lit(x) for pair in feed.RANKS.items() for x in pair)), F.get_json_object("value", "$.event_type"))
+    per_key = records.withColumn("rank", rank).groupBy("topic", "key").agg(
+        F.count("*").alias("n"), F.count_distinct("offset").alias("offsets"), F.collect_list(F.struct("offset", "rank")).alias("all"))
+    ranks = F.transform(F.array_sort("all"), lambda r: r["rank"])
+    whole = F.when((F.col("n") == F.col("offsets")) & (ranks == F.array_sort(ranks)), F.col("n"))
     return per_key.groupBy("topic").agg(F.sum(whole).alias("records"), F.count("*").alias("keys"))
 
 
@@ -401,14 +403,15 @@ def _write_log(records, folder):
 
 
 def _with_batches(spark, state, target):
-    """``state`` with the number of runs and batches that its stored table holds."""
-    stored = spark.read.option("basePath", target).parquet(f"{target}/run_id=*")
+    """``state`` with the number of runs and batches that count in its stored table."""
+    stored = sinks.stored_batches(spark, target)
     count = lambda name: stored.agg(F.count_distinct(name)).scalar()
     return state.withColumn("runs", count("run_id")).withColumn("batches", count("batch_id"))
 
 
-def _run_documents(spark, at):
+def _run_documents(spark, at, replays_within=None):
     stream = logs.stream_log(spark, f"{at}/log", C.TOPICS["metadata"], files_per_trigger=1)
+    stream = logs.without_replays(stream, replays_within) if replays_within else stream
     sinks.start_documents(stream, f"{at}/table", f"{at}/checkpoint", None).awaitTermination()
 
 
@@ -446,6 +449,41 @@ def stream_restart(spark, sf_dir):
     return _stored_documents(spark, at)
 
 
+@query(f"""
+    select *, 0::bigint as stored_twice from ({_DOCUMENT_SQL} qualify row_number() over (partition by user_id order by event_id desc) = 1)""")
+def stream_suppressed(spark, sf_dir):
+    """The log published a second time while the stream remembers it: no record is stored twice."""
+    at = _run_folder(spark)
+    events = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("timestamp"))
+    records = _metadata_log(spark, sf_dir).drop("timestamp").join(events, F.col("offset") == F.col("event_id")).drop("event_id")
+    for _ in range(2):
+        _write_log(records, f"{at}/log")
+        _run_documents(spark, at, "60 days")
+    stored = sinks.stored(spark, f"{at}/table")
+    twice = stored.groupBy("_id", "kafka_offset").count().where("count > 1").agg(F.count("*")).scalar()
+    return sinks.current_documents(spark, f"{at}/table").select(
+        "_id", "content_sha256", F.col("line_count").cast("long").alias("line_count"), "kafka_offset",
+        F.unix_micros("event_time_utc").alias("event_time_us")).withColumn("stored_twice", twice)
+
+
+@query(f"""
+    select *, 2::bigint as runs, {LOG_FILES + 1}::bigint as batches from ({_DOCUMENT_SQL}
+    qualify row_number() over (partition by user_id order by event_id desc) = 1)""")
+def stream_compacted(spark, sf_dir):
+    """The metadata stream over a first part of the log, a compaction of its table, and the stream again over the rest:
+    the base and the batches after it count."""
+    at = _run_folder(spark)
+    records = _metadata_log(spark, sf_dir)
+    middle = table(spark, sf_dir, "events").agg(F.percentile_approx("event_id", 0.5)).scalar()
+    first = F.col("offset") < middle
+    _write_log(records.filter(first), f"{at}/log")
+    _run_documents(spark, at)
+    sinks.compact_documents(spark, f"{at}/table")
+    _write_log(records.filter(~first), f"{at}/log")
+    _run_documents(spark, at)
+    return _stored_documents(spark, at)
+
+
 @query(f"""
     with e as (select * from events where event_type = 'error')
     select sha256('{REPOSITORY}:' || user_id || ':' || event_id) as error_id, event_id as "offset", 'SyntaxError' as error_type,
@@ -584,3 +622,21 @@ def recompute_compare(spark, sf_dir):
         F.count_if(F.col("expected") & (F.col("kind") == "node")).alias("nodes"),
         F.count_if(F.col("expected") & (F.col("kind") == "edge")).alias("edges"),
         F.count_if(F.col("actual").isNull()).alias("missing"), F.count_if(F.col("expected").isNull()).alias("stale"))
+
+
+@query(f"""
+    select sha256('{REPOSITORY}:samples/' || s_suppkey || '.py') as _id, sha256(s_name) as content_sha256,
+           s_nationkey::bigint as line_count from supplier""")
+def sample_log(spark, sf_dir):
+    """Sample events, one file each and laid out over many lines, published with their keys and read as documents."""
+    at = _run_folder(spark)
+    path = F.concat(F.lit("samples/"), F.col("s_suppkey").cast("string"), F.lit(".py"))
+    event = F.struct(
+        F.lit(C.SCHEMA_VERSION).alias("schema_version"), F.lit(C.FILE_METADATA_UPSERT).alias("event_type"), F.lit(_TIME).alias("event_time"),
+        F.lit(REPOSITORY).alias("repository"), ids.file_id(F.lit(REPOSITORY), path).alias("file_id"), path.alias("path"),
+        ids.sha256(F.col("s_name")).alias("content_sha256"), F.col("s_nationkey").alias("line_count"))
+    samples = table(spark, sf_dir, "supplier").select("s_suppkey", F.to_json(event, {"pretty": "true"}).alias("value"))
+    samples.write.partitionBy("s_suppkey").text(f"{at}/samples")
+    logs.publish(logs.sample_events(spark, f"{at}/samples/*", "metadata"), f"{at}/log", 1)
+    return sinks.documents(logs.read_log(spark, f"{at}/log", C.TOPICS["metadata"])).select(
+        "_id", "content_sha256", F.col("line_count").cast("long").alias("line_count"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from graphloom import contract as C
 from graphloom.functions import ids
 from graphloom.functions.rules import with_violations
-from graphloom.operators import changes, checks
+from graphloom.operators import changes, checks, documents
 from graphloom.plans.catalog import REPOSITORY, query, table
 
 
@@ -441,3 +441,24 @@ def exact_state(spark, sf_dir):
         nodes.filter("file_id = '7' and o_orderstatus in ('F', 'O')"), edges.filter("file_id = '7' and l_returnflag in ('A', 'N')"),
         nodes.filter("o_orderstatus in ('O', 'P')"), edges.filter("l_returnflag in ('N', 'R')"), documents, "7", "none", 1500, 5, 100)
     return report.withColumn("mismatches", F.array_join("mismatches", "; "))
+
+
+_DOCUMENTS_SQL = """
+    select '/of/k' as pointer, json_extract_string(props, '$.k') as value from e
+    union select '/users/0', user_id::varchar from e union select '/users/1', '"' || event_type[1] || '"' from e
+    union select '/last~1digits', (event_id % 1000)::varchar from e"""
+
+
+@query(f"""
+    with l as (with e as (select * from events where event_type = 'signup') {_DOCUMENTS_SQL}),
+    r as (with e as (select * from events where event_type = 'purchase') {_DOCUMENTS_SQL})
+    select pointer, value, 'left' as side from (select * from l except select * from r)
+    union all select pointer, value, 'right' from (select * from r except select * from l)""")
+def schema_equal(spark, sf_dir):
+    """What the documents of signups say and those of purchases do not, and the other way round; their ids aside."""
+    events = table(spark, sf_dir, "events")
+    text = F.format_string(
+        '{"$id": %d, "users": [%d, "%s"], "of": %s, "last/digits": %d}', F.col("event_id"), F.col("user_id"),
+        F.substring("event_type", 1, 1), F.col("props"), F.col("event_id") % 1000)
+    of = lambda kind: events.filter(F.col("event_type") == kind).select(text.alias("document"))
+    return documents.document_differences(of("signup"), of("purchase"), "document")

@@ -10,7 +10,7 @@ from graphloom.functions import ids
 from graphloom.operators import checks, graph, names, sequence
 from graphloom.plans import derived
 from graphloom.plans.catalog import REPOSITORY, query, table
-from graphloom.plans.extract import edges_of_syntax, errors, file_metadata, syntax_rows
+from graphloom.plans.extract import edges_of_syntax, errors, file_metadata, select_file, syntax_rows
 from graphloom.session import materialise
 
 # --- tree: region -> nation -> customer -> order -> line -----------------------------------
@@ -362,7 +362,7 @@ def _text_sql(text: str) -> str:
     return "('" + marked.replace("{key}", "' || k || '").replace("{other}", "' || c || '") + "')"
 
 
-@query(f"""
+_METADATA_SQL = f"""
     with {_ROWS_SQL},
     texts as (
         select *, (case kind when 0 then {_text_sql(derived.BRANCHES)} when 1 then {_text_sql(derived.LOOPS)}
@@ -374,13 +374,25 @@ def _text_sql(text: str) -> str:
            (nodes + 8 * steps)::bigint as ast_node_count, (ast + 8 * steps)::bigint as ast_edge_count,
            (cfg + steps)::bigint as cfg_edge_count, (dfg + steps)::bigint as dfg_edge_count,
            calls::bigint as call_edge_count, 'PARSED' as status
-    from texts""")
+    from texts"""
+
+
+@query(_METADATA_SQL)
 def source_metadata(spark, sf_dir):
     found = file_metadata(_order_files(spark, sf_dir))
     return found.select("file_id", "path", "content_sha256", "size_bytes", "status", *(
         F.col(n).cast("long").alias(n) for n in ("line_count", *C.COUNT_FIELDS)))
 
 
+@query(_METADATA_SQL + " where path = (select 'orders/' || max(o_orderkey) || '.py' from orders)")
+def single_source(spark, sf_dir):
+    """The same for one path, as a replay selects it."""
+    last = table(spark, sf_dir, "orders").agg(F.max("o_orderkey")).first()[0]
+    found = file_metadata(select_file(_order_files(spark, sf_dir), f"orders\\{last}.py"))
+    return found.select("file_id", "path", "content_sha256", "size_bytes", "status", *(
+        F.col(n).cast("long").alias(n) for n in ("line_count", *C.COUNT_FIELDS)))
+
+
 # (kind, edge type, source path and type, target path and type, properties); {key} is the row's key
 _EDGES = (
     (0, "CALL", "root.body[2].body[0].body[0].value", "Call", "root.body[2].body[0].body[0].value.func", "Attribute", '{"callee":"table.find","resolution":"unresolved"}'),
@@ -570,3 +582,21 @@ def source_errors(spark, sf_dir):
         "doc_id", F.concat(F.repeat(F.lit("x = 1\n"), breaks), F.lit("?")).alias("text"))
     flat = syntax_rows(derived.text_files(documents, REPOSITORY, "raw", "doc_id", "text"))
     return errors(flat).drop("repository")
+
+
+@query(f"""
+    with d as (
+        select doc_id, sha256('{REPOSITORY}:bytes/' || doc_id || '.py') as f,
+               case doc_id % 3 when 0 then repeat(chr(65533), 2) else chr(65533) end || doc_id || left(text, 60) as value
+        from documents)
+    select f as file_id, sha256(f || ':root.body[0].value:Constant') as node_id, 'Constant:' || left(value, 20) as label, value
+    from d""")
+def broken_bytes(spark, sf_dir):
+    """Sources with bytes that are no UTF-8: each broken sequence is read as one replacement character."""
+    odd = F.when(F.col("doc_id") % 3 == 0, F.lit("FFFE")).when(F.col("doc_id") % 3 == 1, F.lit("C3")).otherwise(F.lit("E282"))
+    literal = F.to_json(F.array(F.concat(F.col("doc_id").cast("string"), F.left("text", F.lit(60)))))
+    inner = F.substring(literal, F.lit(3), F.length(literal) - 4)
+    content = F.concat(F.lit('text = "').cast("binary"), F.unhex(odd), inner.cast("binary"), F.lit('"\n').cast("binary"))
+    files = derived.text_files(table(spark, sf_dir, "documents").select("doc_id", content.alias("bytes")), REPOSITORY, "bytes", "doc_id", "bytes")
+    return graph.nodes(syntax_rows(files)).filter("node_type = 'Constant'").select(
+        "file_id", "node_id", "label", F.get_json_object("properties", "$.value").alias("value"))

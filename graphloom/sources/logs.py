@@ -88,6 +88,16 @@ def stream_log(spark: SparkSession, location: str, topic: str, kafka: bool = Fal
     return reader.parquet(location).filter(F.col("topic") == topic)
 
 
+def without_replays(log: DataFrame, within: str) -> DataFrame:
+    """A stream of log records without those that it has had before, by their place in the log.
+
+    Places are kept in the stream's state as long as records of their time can come: ``within`` is how far behind the newest
+    record's time a record may be. Older ones are taken for replays and left out.
+    """
+    place = ["topic", "partition", "revision_seq", "offset"]
+    return log.withWatermark("timestamp", within).dropDuplicatesWithinWatermark(place)
+
+
 def first_records(log: DataFrame) -> DataFrame:
     """The first record of each topic as ``key | value``."""
     return first_by_group(log, ["topic"], ["revision_seq", "partition", "offset"]).select(

@@ -8,8 +8,10 @@ is the latest row per key over all partitions, decided by source position and ne
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
@@ -135,15 +137,57 @@ def start_errors(log: DataFrame, target: str, checkpoint: str, trigger: str | No
     return start(error_records(log), target, checkpoint, (), ("offset",), "parser_errors", trigger)
 
 
-def stored(spark: SparkSession, target: str) -> DataFrame:
-    """All stored rows. Rows of another state version are fatal."""
-    rows = spark.read.option("basePath", target).parquet(f"{target}/run_id=*").drop(*_PARTITION)
+@dataclass(frozen=True)
+class Folded:
+    """What compaction has put into a base: the base's name, and up to which batch of each run it goes."""
+
+    generation: int = 0
+    place: int = 1
+    upto: Mapping[str, int] = field(default_factory=dict)
+
+    @property
+    def base(self) -> str:
+        return f"{_BASE}{self.generation}"
+
+
+_BASE = "base-"
+
+
+def folded(spark: SparkSession, target: str) -> Folded:
+    """The last compaction of a table; two small records of one row a run, of which the newer one counts."""
+    try:
+        rows = spark.read.parquet(f"{target}/_folded/place=*").select(
+            "generation", F.regexp_extract(F.col("_metadata.file_path"), r"place=(\d)", 1).cast("int").alias("place"), "run", "upto").collect()
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return Folded()
+    newest = max(r.generation for r in rows)
+    return Folded(newest, next(r.place for r in rows if r.generation == newest), {r.run: r.upto for r in rows if r.generation == newest})
+
+
+def _visible(done: Folded) -> Column:
+    """Partitions that count: the base, and batches that are not in it."""
+    run, batch = F.col("run_id").cast("string"), F.col("batch_id").cast("long")
+    rest = F.lit(True)
+    for name, upto in done.upto.items():
+        rest = rest & ((run != name) | (batch > upto))
+    return F.when(run.startswith(_BASE), run == done.base).otherwise(rest) if done.generation else F.lit(True)
+
+
+def stored_batches(spark: SparkSession, target: str) -> DataFrame:
+    """All rows that count, with their ``run_id`` and ``batch_id``. Rows of another state version are fatal."""
+    rows = spark.read.option("basePath", target).parquet(f"{target}/run_id=*").where(_visible(folded(spark, target)))
     version = F.col("state_version")
     checked = F.when(version == C.STATE_VERSION, version).otherwise(
         F.raise_error(F.lit(f"{target} was written by another version")).cast("int"))
     return rows.filter(checked.isNotNull()).drop("state_version")
 
 
+def stored(spark: SparkSession, target: str) -> DataFrame:
+    return stored_batches(spark, target).drop(*_PARTITION)
+
+
 def current_documents(spark: SparkSession, target: str) -> DataFrame:
     """One document per file: the one with the highest offset; of equal ones the first stored."""
     rows = stored(spark, target).withColumn("_age", -F.unix_micros("processed_at"))
@@ -186,10 +230,34 @@ def graph_view(spark: SparkSession, nodes_at: str, edges_at: str) -> tuple[DataF
     return nodes, edges
 
 
-def compact(spark: SparkSession, source: str, target: str, key: Sequence[str], order: Sequence[str]) -> None:
-    """Rewrite a stored table as one base batch with the last row per key."""
+def compact(spark: SparkSession, target: str, key: Sequence[str], order: Sequence[str]) -> None:
+    """Fold the batches that a table holds now into one base with the last row per key. The stream may go on meanwhile.
+
+    The base is a partition of the same table; a small record, written last, says which batches it stands for, and
+    readers leave those out by partition filters. Batches stored after the start are not folded. A compaction that
+    stopped before its record can be run again. Runs jobs; one row a run comes to the driver.
+    """
+    done = folded(spark, target)
+    now = stored_batches(spark, target)
+    upto = {r.run_id: r.upto for r in now.where(~F.col("run_id").cast("string").startswith(_BASE)).groupBy(
+        F.col("run_id").cast("string").alias("run_id")).agg(F.max("batch_id").cast("long").alias("upto")).collect()}
+    after = Folded(done.generation + 1, 1 - done.place, {**done.upto, **upto})
+    known = F.col("run_id").cast("string").startswith(_BASE)
+    for name, last in upto.items():
+        known = known | ((F.col("run_id") == name) & (F.col("batch_id") <= last))
     (
-        latest_by_key(stored(spark, source), key, order)
-        .withColumn("state_version", F.lit(C.STATE_VERSION))
-        .write.mode("errorifexists").parquet(f"{target}/run_id=base/batch_id=0")
+        latest_by_key(now.where(known).drop(*_PARTITION), key, order).withColumn("state_version", F.lit(C.STATE_VERSION))
+        .write.mode("overwrite").parquet(f"{target}/run_id={after.base}/batch_id=0")
     )
+    rows = [(after.generation, run, last) for run, last in sorted(after.upto.items())]
+    spark.createDataFrame(rows, "generation long, run string, upto long").coalesce(1).write.mode("overwrite").parquet(
+        f"{target}/_folded/place={after.place}")
+
+
+def compact_documents(spark: SparkSession, target: str) -> None:
+    compact(spark, target, ["_id"], DOCUMENT_ORDER)
+
+
+def compact_graph(spark: SparkSession, category: str, target: str) -> None:
+    """Keeps the last upsert and the last delete of a key, as the sink does."""
+    compact(spark, target, [C.KEYS[category], "event_type"], GRAPH_ORDER)

@@ -1,29 +1,34 @@
 """Source texts with known graphs."""
 
-# fixed values: the texts, and their nodes and AST, CFG, DFG and CALL edges
+# texts, and their nodes and AST, CFG, DFG and CALL edges
 
 SOURCES = {
-    "F1.py": ("x = 1\ny = x\n", (10, 9, 1, 1, 0)),
-    "F1b.py": ("x = 1\n", (5, 4, 0, 0, 0)),
-    "F2.py": ("\ndef local():\n    return 1\nvalue = local()\nprint(value)\n", (17, 16, 2, 2, 2)),
-    "F3.py": (
-        "\nx = 1\nbefore = x\nx = 2\nafter = x\ndef outer(a):\n    x = a\n    def inner():\n"
-        "        x = 3\n        return x\n    return x\n", (39, 38, 7, 5, 0)),
-    "F4.py": (
-        "\nx = 0\ndef set_global():\n    global x\n    x = 1\n    return x\ndef outer():\n"
-        "    y = 1\n    def inner():\n        nonlocal y\n        y = 2\n        return y\n"
-        "    return inner\n", (34, 33, 8, 3, 0)),
-    "F5.py": ("def add(a, b):\n    return a + b\n\nvalue = add(1, 2)\n", (20, 19, 1, 3, 1)),
-    "F6.py": ("def answer():\n    return 42\n", (5, 4, 0, 0, 0)),
-    "F7.py": (
-        "\ndef f(a, b):\n    left = a + b\n    right = a + b\n    return left + right\n",
-        (30, 29, 2, 6, 0)),
-    "F8.py": (
-        "for i in xs:\n    if i:\n        a = 1\n    else:\n        break\nb = 2\n",
-        (18, 17, 5, 1, 0)),
-    "F9.py": ("xs = [1]\nys = [x for x in xs]\n", (18, 17, 1, 1, 0)),
-    "F10/__init__.py": ("", (1, 0, 0, 0, 0)),
-    "F11.py": ("def broken(:\n", (0, 0, 0, 0, 0)),
+    "pair.py": ("width = 3\nheight = width * 2\narea = width * height\n", (22, 21, 2, 3, 0)),
+    "short.py": ("limit = 80\n", (5, 4, 0, 0, 0)),
+    "shop.py": (
+        "def price(item):\n    return item.cost + 5\n\ncart = [price(apple), price(pear)]\n"
+        "show(cart, sum(cart))\n", (38, 37, 2, 5, 4)),
+    "shadows.py": (
+        "colour = 'red'\nfirst = colour\ncolour = 'blue'\nsecond = colour\ndef paint(wall):\n"
+        "    colour = wall\n    def mix(tin):\n        colour = tin.shade\n"
+        "        return colour, wall\n    return mix(colour)\n", (50, 49, 7, 8, 1)),
+    "counters.py": (
+        "hits = 0\ndef record(n):\n    global hits\n    hits = hits + n\n    return hits\n"
+        "def meter():\n    level = 10\n    def raise_it(by):\n        nonlocal level\n"
+        "        level = level + by\n        return level\n    return raise_it\nrecord(2)\n", (51, 50, 9, 8, 1)),
+    "scale.py": (
+        "def scale(x, factor):\n    return x * factor\n\nlarge = scale(7, 3)\n"
+        "huge = scale(large, large)\n", (30, 29, 2, 6, 2)),
+    "constant.py": ("class Settings:\n    retries = 3\n", (6, 5, 0, 0, 0)),
+    "repeats.py": (
+        "def spread(low, high):\n    span = high - low\n    again = high - low\n"
+        "    return span * again + span\n", (34, 33, 2, 7, 0)),
+    "loop.py": (
+        "total = 0\nfor price in prices:\n    if price > 9:\n        total = total + price\n"
+        "    else:\n        continue\nprint(total)\n", (32, 31, 6, 4, 1)),
+    "listed.py": ("names = ['ann', 'bob']\nsizes = {name: len(name) for name in names}\n", (24, 23, 1, 1, 1)),
+    "package/__init__.py": ("", (1, 0, 0, 0, 0)),
+    "headless.py": ("if ready\n    go()\n", (0, 0, 0, 0, 0)),
 }
 
 # Each exercises one rule that is easy to get wrong.

@@ -15,10 +15,8 @@ from graphloom.sources import logs
 from graphloom.streaming import sinks
 from tests.fixtures import SOURCES
 
-MARKER = (
-    '\n\ndef marker(number):\n    """An edit that adds 11 nodes and 14 edges."""\n    return number + 1\n'
-)
-CORPUS = {path: SOURCES[path][0] for path in ("F1.py", "F2.py", "F4.py", "F10/__init__.py")}
+MARKER = "\n\ndef twice(number):\n    doubled = number + number\n    return doubled\n"
+CORPUS = {path: SOURCES[path][0] for path in ("pair.py", "shop.py", "counters.py", "package/__init__.py")}
 
 
 def counts(feed):
@@ -27,8 +25,8 @@ def counts(feed):
 
 def test_revision_diff_and_order(spark, files_of, tmp_path):
     at = Locations(str(tmp_path))
-    run_batch(spark, files_of({"fixture.py": "x = 1\ny = x\n", "other.py": "a = 1\n"}), at, 1)
-    extraction, feed = run_batch(spark, files_of({"fixture.py": "x = 1\n"}), at, 2)
+    run_batch(spark, files_of({"fixture.py": "width = 3\nheight = width\n", "other.py": "a = 1\n"}), at, 1)
+    extraction, feed = run_batch(spark, files_of({"fixture.py": "width = 3\n"}), at, 2)
     assert counts(feed) == {
         C.EDGE_DELETE: 7, C.NODE_DELETE: 5, C.NODE_UPSERT: 5, C.EDGE_UPSERT: 4,
         C.FILE_METADATA_UPSERT: 1}
@@ -57,22 +55,22 @@ def test_revision_diff_and_order(spark, files_of, tmp_path):
     assert all("properties" not in e for e in events if e["event_type"].endswith("DELETE"))
 
     # a failed revision gives an error and zero counts, and deletes nothing
-    _, feed = run_batch(spark, files_of({"fixture.py": "def broken(:\n"}), at, 3)
+    _, feed = run_batch(spark, files_of({"fixture.py": "if ready go\n"}), at, 3)
     assert counts(feed) == {C.PARSER_ERROR: 1, C.FILE_METADATA_UPSERT: 1}
     metadata = json.loads(feed.filter("category = 'metadata'").first().value)
     assert metadata["status"] == "FAILED" and metadata["ast_node_count"] == 0
-    assert metadata["line_count"] == 1 and metadata["size_bytes"] == 13
+    assert metadata["line_count"] == 1 and metadata["size_bytes"] == 12
 
     # an unchanged file emits everything again, measured against the last good revision
-    _, feed = run_batch(spark, files_of({"fixture.py": "x = 1\n"}), at, 4)
+    _, feed = run_batch(spark, files_of({"fixture.py": "width = 3\n"}), at, 4)
     assert counts(feed) == {C.NODE_UPSERT: 5, C.EDGE_UPSERT: 4, C.FILE_METADATA_UPSERT: 1}
 
 
 def test_events_follow_the_contract(spark, files_of, tmp_path):
     at = Locations(str(tmp_path))
-    sources = {"src/fixture.py": SOURCES["F5.py"][0], "gone.py": "x = 1\ny = x\n", "bad.py": "def broken(:\n"}
+    sources = {"src/fixture.py": SOURCES["scale.py"][0], "gone.py": "width = 3\nheight = width\n", "bad.py": "if ready go\n"}
     run_batch(spark, files_of(sources), at, 1)
-    _, feed = run_batch(spark, files_of({"gone.py": "x = 1\n"}), at, 2)
+    _, feed = run_batch(spark, files_of({"gone.py": "width = 3\n"}), at, 2)
     log = spark.read.parquet(at.log)
     for category, topic in C.TOPICS.items():
         checked = with_violations(log.filter(F.col("topic") == topic), category)
@@ -109,7 +107,7 @@ def snapshot(documents):
 
 
 def test_five_phase_replay(spark, files_of, deployment):
-    at, path = deployment, "F2.py"
+    at, path = deployment, "shop.py"
     original, modified = CORPUS[path], CORPUS[path] + MARKER
     counted = {}
     # 1 baseline, 2 unchanged replay, 3 modified, 5 restored
@@ -139,7 +137,7 @@ def test_five_phase_replay(spark, files_of, deployment):
                 documents, again, ["_id", "content_sha256", "kafka_offset", "processed_at"]
             ).first().snapshots_equal
     assert counted[1] == counted[2] == counted[4]
-    assert [b - a for a, b in zip(counted[1], counted[3])] == [11, 14, 11, 14]
+    assert [b - a for a, b in zip(counted[1], counted[3])] == [15, 20, 15, 20]
     nodes, edges, documents = state_of(spark, at)
     report = checks.verify_idempotency(nodes, edges, documents, extraction.files.first().file_id).first()
     assert report.status == "PASS", report.mismatches
@@ -149,7 +147,7 @@ def test_integrity_reports(spark, files_of, deployment):
     extraction = extract(files_of(CORPUS))
     report = checks.corpus_integrity(
         extraction.nodes, extraction.edges, extraction.metadata, extraction.errors, len(CORPUS)).first()
-    assert report.status == "PASS" and report.node_events == 10 + 17 + 34 + 1
+    assert report.status == "PASS" and report.node_events == 22 + 38 + 51 + 1
     report = checks.corpus_integrity(
         extraction.nodes.filter("node_type <> 'Name'"), extraction.edges, extraction.metadata,
         extraction.errors, len(CORPUS)).first()
@@ -159,14 +157,14 @@ def test_integrity_reports(spark, files_of, deployment):
     documents = sinks.current_documents(spark, at.table("metadata"))
     manifest = extraction.files.select("file_id")
     assert checks.verify_documents(documents, manifest, len(CORPUS)).first().status == "PASS"
-    short = checks.verify_documents(documents.filter("path <> 'F1.py'"), manifest, len(CORPUS)).first()
+    short = checks.verify_documents(documents.filter("path <> 'pair.py'"), manifest, len(CORPUS)).first()
     assert "1 manifest files are missing" in short.mismatches
 
-    expected = {"total_nodes": 62, "AST": 58, "placeholder_nodes": 0}
+    expected = {"total_nodes": 112, "AST": 108, "placeholder_nodes": 0}
     good = checks.verify_graph(extraction.nodes, extraction.edges, expected).first()
     assert good.status == "PASS", good.mismatches
     bad = checks.verify_graph(extraction.nodes, extraction.edges, {"CFG": 0}).first()
-    assert bad.status == "FAIL" and bad.mismatches == ["CFG edges: expected 0, got 11"]
+    assert bad.status == "FAIL" and bad.mismatches == ["CFG edges: expected 0, got 13"]
 
 
 def test_placeholders_and_detach(spark):
@@ -232,12 +230,21 @@ def test_document_stream(spark, tmp_path):
     assert snapshot(run(str(tmp_path / "second"))) == before
     counted = sinks.rejected_count(logs.read_log(spark, log, C.TOPICS["metadata"]), "metadata").first()
     assert (counted.accepted, counted.rejected) == (4, 6)
-    sinks.compact(spark, table, str(tmp_path / "compacted"), ["_id"], sinks.DOCUMENT_ORDER)
-    assert sinks.current_documents(spark, str(tmp_path / "compacted")).count() == 1
+    # compaction while the stream goes on: what is folded is left out, later batches count
+    before = sinks.current_documents(spark, table).select("_id", "content_sha256", "kafka_offset").collect()
+    sinks.compact_documents(spark, table)
+    assert [(r.run_id, r.batch_id) for r in sinks.stored_batches(spark, table).select("run_id", "batch_id").collect()] == [("base-1", 0)]
+    assert sinks.current_documents(spark, table).select("_id", "content_sha256", "kafka_offset").collect() == before
+    send(3, metadata_event("d", 15))
+    assert run().first().content_sha256 == "d" * 64
+    assert sinks.stored_batches(spark, table).count() == 2
+    sinks.compact_documents(spark, table)
+    assert sinks.folded(spark, table).generation == 2 and sinks.stored_batches(spark, table).count() == 1
+    assert run().first().content_sha256 == "d" * 64
 
 
 def test_dump_round_trip_and_first_records(spark, files_of, tmp_path):
-    extraction = extract(files_of({"a.py": "x = 1\n", "b.py": "def broken(:\n"}))
+    extraction = extract(files_of({"a.py": "x = 1\n", "b.py": "if ready go\n"}))
     feed = change_feed(extraction)
     logs.write_dump(feed, str(tmp_path / "dump"))
     replayed = logs.replay_dumps(spark, str(tmp_path / "dump"), partitioned=True)
@@ -257,19 +264,19 @@ def test_dump_round_trip_and_first_records(spark, files_of, tmp_path):
 def test_run_summary(spark, files_of):
     from datetime import datetime, timezone
 
-    extraction = extract(files_of({"a.py": SOURCES["F2.py"][0], "b.py": "def broken(:\n"}))
+    extraction = extract(files_of({"a.py": SOURCES["shop.py"][0], "b.py": "if ready go\n"}))
     began = datetime(2026, 1, 1, tzinfo=timezone.utc)
     row = run_summary(change_feed(extraction), extraction, "r", began, began.replace(second=2), True).first()
     assert (row.total_files_targeted, row.processed_files, row.error_files) == (2, 1, 1)
-    assert (row.total_nodes_emitted, row.total_edges_emitted) == (17, 22)
-    assert tuple(row.cpg_breakdown) == (17, 16, 2, 2, 2)
+    assert (row.total_nodes_emitted, row.total_edges_emitted) == (38, 48)
+    assert tuple(row.cpg_breakdown) == (38, 37, 2, 5, 4)
     assert row.execution_duration_sec == 2.0 and row.executed_at == "2026-01-01T00:00:02.000000+00:00"
 
 
 def test_error_stream_and_report(spark, files_of, tmp_path):
     at = Locations(str(tmp_path))
     old = F.lit("2020-01-01T00:00:00.000000+00:00")
-    run_batch(spark, files_of({"a.py": "def broken(:\n", "b.py": "x = 1\n"}), at, 1, event_time=old)
+    run_batch(spark, files_of({"a.py": "if ready go\n", "b.py": "x = 1\n"}), at, 1, event_time=old)
     run_batch(spark, files_of({"c.py": "x = = 1\n"}), at, 2)
     drain(spark, at)
     assert sinks.stored(spark, at.table("error")).count() == 2
@@ -346,13 +353,13 @@ def test_state_of_stopped_and_repeated_batches(spark, files_of, tmp_path, monkey
     with pytest.raises(ValueError, match="older than the stored state"):
         state.commit_state(edited, at.state, 2)
     # a failed file keeps its state, and so does a batch of nothing but failures
-    state.commit_state(extract(files_of({"a.py": "def broken(:\n"})), at.state, 6)
+    state.commit_state(extract(files_of({"a.py": "if ready go\n"})), at.state, 6)
     assert stored_ids(spark, first, at, 7) == kept
 
 
 def test_skipping_unchanged_files_publishes_the_same(spark, files_of, tmp_path):
-    corpus = {path: SOURCES[path][0] for path in ("F1.py", "F2.py")}
-    edited = {**corpus, "F2.py": corpus["F2.py"] + MARKER}
+    corpus = {path: SOURCES[path][0] for path in ("pair.py", "shop.py")}
+    edited = {**corpus, "shop.py": corpus["shop.py"] + MARKER}
     time, feeds = F.lit("2026-01-01T00:00:00.000000+00:00"), []
     for skip in (False, True):
         at = Locations(str(tmp_path / str(skip)))
