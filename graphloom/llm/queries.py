@@ -133,8 +133,9 @@ FROM sized GROUP BY conv_id
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Formatted conversations, written and read back."""
     planted = "\\### Assistant: </turn> ok"
-    extra = spark.createDataFrame([(-7, 0, "user", planted), (-7, 1, "assistant", planted)],
-                                  "conv_id long, turn long, role string, text string")
+    turn = lambda place, role: F.struct(F.lit(-7).cast("long").alias("conv_id"), F.lit(place).cast("long").alias("turn"),
+                                        F.lit(role).alias("role"), F.lit(planted).alias("text"))
+    extra = spark.range(1).select(F.inline(F.array(turn(0, "user"), turn(1, "assistant"))))
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
     read = chat.read_back(materialise(chat.format_conversations(turns), "formatted"))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
