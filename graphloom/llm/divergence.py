@@ -10,8 +10,8 @@ billionths. Written with the share that a term without occurrences has in a sour
 
 The last part comes from the tree. Equal rows are one row with a multiplicity; a row is a path from the root, and rows
 that begin alike share the nodes of that beginning. A node stands for all rows below it, so each pair of a node and one of
-its ancestors gives its correction once, times the node's multiplicity. Rows are dealt by ranges of the rows
-themselves, so that rows of one path meet in one task; a task's part of the tree is its sorted rows, where nodes are runs
+its ancestors gives its correction once, times the node's multiplicity. Rows are dealt by ranges of their first
+cells, so that rows of one path meet in one task; a task's part of the tree is its sorted rows, where nodes are runs
 of equal beginnings. A node whose rows lie in two tasks or batches is two nodes, which add up to the same sum.
 
 The second part is worked out on histograms (source, share) -> number of terms. Occurrences are combined in each slice of
@@ -31,7 +31,9 @@ from graphloom.llm.common import materialise
 
 #: Letters and everything outside ASCII.
 LETTERS = W.ALNUM & ~((np.arange(256) >= 48) & (np.arange(256) <= 57))
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
+#: Rows that are handed to Spark at a time.
+SENT_ROWS = 1 << 15
 SCALE = 1_000_000_000
 PRIOR = 5
 LEAST_DOCUMENTS = 30
@@ -40,6 +42,7 @@ TOP_TERMS = 50
 PAIRS = 1 << 20
 
 COUNTED = "lang string, source string, term string, n long, docs long"
+_COUNTED = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("n", pa.int64()), ("docs", pa.int64())])
 TREE = "lang string, a int, b int, value long"
 
 
@@ -56,32 +59,37 @@ def _sums(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, source, text) -> occurrences and texts of each term of a slice; the empty term marks a group as present."""
     for batch in batches:
-        names: dict[tuple[str, str], int] = {}
-        pairs = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-        of_row = np.fromiter((names.setdefault(p, len(names)) for p in pairs), np.int64, batch.num_rows)
-        langs, sources = (pa.array([n[c] for n in names], pa.string()) for c in (0, 1))
-        for part in W.slices(batch.column(2), SLICE_BYTES):
-            low = W.LOWER[part.data]
-            found = W.words(low, part.offsets, LETTERS)
-            size = np.diff(found.rows)
-            here = of_row[part.first:part.first + len(size)]
-            ends = np.concatenate([[0], np.cumsum(found.ends - found.starts)])
-            terms = pa.Array.from_buffers(pa.large_binary(), len(found.starts), [
-                None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(low[LETTERS[low]])]).dictionary_encode()
-            many = max(1, len(terms.dictionary))
-            code = terms.indices.to_numpy().astype(np.int64)
-            in_text, n = _sums(np.repeat(np.arange(len(size)), size) * many + code, np.ones(len(code), np.int64))
-            key = here[in_text // many] * many + in_text % many
-            cell, n = _sums(key, n)
-            docs = _sums(key, np.ones(len(key), np.int64))[1]
-            present = np.unique(here)
-            group = pa.array(np.concatenate([cell // many, present]))
-            spelled = pa.concat_arrays([terms.dictionary.take(pa.array(cell % many)), pa.array([b""] * len(present), pa.large_binary())])
-            none = np.zeros(len(present), np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [langs.take(group), sources.take(group), spelled.cast(pa.binary()).cast(pa.string()),
-                 pa.array(np.concatenate([n, none])), pa.array(np.concatenate([docs, none]))],
-                names=["lang", "source", "term", "n", "docs"])
+        for counted in _slice_terms(batch):
+            for at in range(0, counted.num_rows, SENT_ROWS):
+                yield counted.slice(at, SENT_ROWS)
+
+
+def _slice_terms(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    names: dict[tuple[str, str], int] = {}
+    pairs = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+    of_row = np.fromiter((names.setdefault(p, len(names)) for p in pairs), np.int64, batch.num_rows)
+    langs, sources = (pa.array([n[c] for n in names], pa.string()) for c in (0, 1))
+    for part in W.slices(batch.column(2), SLICE_BYTES):
+        low = W.LOWER[part.data]
+        found = W.words(low, part.offsets, LETTERS)
+        size = np.diff(found.rows)
+        here = of_row[part.first:part.first + len(size)]
+        ends = np.concatenate([[0], np.cumsum(found.ends - found.starts)])
+        terms = pa.Array.from_buffers(pa.large_binary(), len(found.starts), [
+            None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(low[LETTERS[low]])]).dictionary_encode()
+        many = max(1, len(terms.dictionary))
+        code = terms.indices.to_numpy().astype(np.int64)
+        in_text, n = _sums(np.repeat(np.arange(len(size)), size) * many + code, np.ones(len(code), np.int64))
+        key = here[in_text // many] * many + in_text % many
+        cell, n = _sums(key, n)
+        docs = _sums(key, np.ones(len(key), np.int64))[1]
+        present = np.unique(here)
+        group = pa.array(np.concatenate([cell // many, present]))
+        spelled = pa.concat_arrays([terms.dictionary.take(pa.array(cell % many)), pa.array([b""] * len(present), pa.large_binary())])
+        none = np.zeros(len(present), np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [langs.take(group), sources.take(group), spelled.cast(pa.binary()).cast(pa.string()),
+             pa.array(np.concatenate([n, none])), pa.array(np.concatenate([docs, none]))], schema=_COUNTED)
 
 
 def share(n: str, total: str, kept: str) -> Column:
@@ -173,7 +181,10 @@ def divergence(documents: DataFrame, lang: str = "lang", source: str = "source",
 
     rows = shares.groupBy("lang", "term").agg(F.sort_array(F.collect_list(cell)).alias("row")).groupBy("lang", "row").agg(
         F.count(F.lit(1)).alias("many"))
-    shared = materialise(rows, "rows").repartitionByRange("lang", "row").sortWithinPartitions("lang", "row").mapInArrow(tree, TREE)
+    # ranges go by the first two cells, so that what Spark samples for them is short; rows that are alike so far may part
+    start = [F.get("row", F.lit(i))[c] for i in (0, 1) for c in ("no", "n")]
+    dealt = materialise(rows, "rows").repartitionByRange("lang", *start, F.xxhash64("row"))
+    shared = dealt.sortWithinPartitions("lang", "row").mapInArrow(tree, TREE)
     alone = shares.groupBy("lang", "no", "p", "floor").agg(F.count(F.lit(1)).alias("m"))
     other = groups.select("lang", F.col("no").alias("b"), F.col("floor").alias("floor_b"))
     singles = alone.withColumnRenamed("no", "a").join(other, "lang").where("a <> b").select(
