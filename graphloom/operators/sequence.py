@@ -7,6 +7,7 @@ the position, the latest record is a partial aggregate, and the as-of window can
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -81,6 +82,22 @@ def asof_last(
     )
 
 
+def asof_within(
+    df: DataFrame, by: Sequence[str], group: Sequence[str], order: Sequence[str], values: Sequence[tuple[Column, str]],
+) -> DataFrame:
+    """Add, for each (value, name), the last non-NULL value strictly before each row of its ``group`` in ``order``.
+
+    For very many small groups: one window per ``by``, which holds whole groups one after another, in place of one per group.
+    What is carried along names its group, so a value never counts in another one. ``by`` should be a bounded unit.
+    """
+    window = Window.partitionBy(*by).orderBy(*group, *order).rowsBetween(Window.unboundedPreceding, -1)
+    marked = lambda value: F.when(value.isNotNull(), F.struct(*group, value.alias("_v")))
+    seen = df.withColumns({f"_{name}": F.last(marked(value), ignorenulls=True).over(window) for value, name in values})
+    own = lambda name: F.when(functools.reduce(
+        lambda a, b: a & b, (F.col(f"_{name}")[g] == F.col(g) for g in group)), F.col(f"_{name}")["_v"])
+    return seen.withColumns({name: own(name) for _, name in values}).drop(*(f"_{name}" for _, name in values))
+
+
 def latest_by_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The last row of each key in ``order``. A partial aggregate, so a key with very many versions
     is reduced before the shuffle."""

@@ -55,6 +55,17 @@ def test_inherited_follow(spark):
         "a": "b", "b": None, "c": "d", "d": None, "e": "d", "f": "d", "g": "b", "h": None}
 
 
+def test_last_values_stay_in_their_group(spark):
+    """One window over many groups gives what one window a group gives."""
+    rng = random.Random(4)
+    rows = [(rng.randint(0, 2), rng.randint(0, 3), rng.choice("ab"), i, rng.choice([None, None, i]), rng.choice([None, "x", "y"])) for i in range(400)]
+    df = spark.createDataFrame(rows, "file int, scope int, name string, seq int, a int, b string").repartition(3)
+    got = sequence.asof_within(df, ["file"], ["scope", "name"], ["seq"], [(F.col("a"), "last_a"), (F.col("b"), "last_b")])
+    key = ["file", "scope", "name"]
+    expected = sequence.asof_last(sequence.asof_last(df, key, ["seq"], F.col("a"), "last_a"), key, ["seq"], F.col("b"), "last_b")
+    assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect())) and got.count() == 400
+
+
 def test_nearest_in_chain_stops_at_a_local_name(spark):
     probes = spark.createDataFrame(
         [(1, "s1", "x", 0), (1, "s0", "x", 1), (2, "s2", "x", 0), (2, "s0", "x", 1), (3, "s9", "y", 0)],
