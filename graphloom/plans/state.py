@@ -22,7 +22,7 @@ from graphloom.plans.extract import Extraction
 
 #: Rows of a partition that the first batch aims at, and the most digits of a file id that choose a partition.
 PARTITION_ROWS = 1_000_000
-MOST_DIGITS = 4
+MOST_DIGITS = 3
 COLUMNS = {
     "files": ("file_id", "content_sha256", "nodes_digest", "edges_digest"),
     "nodes": ("file_id", "node_id"),
