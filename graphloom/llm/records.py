@@ -31,8 +31,8 @@ from graphloom.llm.common import parts_for, shared_folder, text_bytes
 
 END_ID = 2
 FILE_BYTES = 16 << 20
-KNOWN_PIECES = 500_000
-SLICE_BYTES = 2 << 20
+KNOWN_PIECES = 250_000
+SLICE_BYTES = 1 << 20
 
 INDEX = "file string, part int, place long, doc_id long, offset long, length long, n_tokens long"
 HEAD, CHECK, LEAD = "<Q", "<I", "<BBq"
