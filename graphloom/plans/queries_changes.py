@@ -636,7 +636,11 @@ def sample_log(spark, sf_dir):
         F.lit(REPOSITORY).alias("repository"), ids.file_id(F.lit(REPOSITORY), path).alias("file_id"), path.alias("path"),
         ids.sha256(F.col("s_name")).alias("content_sha256"), F.col("s_nationkey").alias("line_count"))
     samples = table(spark, sf_dir, "supplier").select("s_suppkey", F.to_json(event, {"pretty": "true"}).alias("value"))
-    samples.write.partitionBy("s_suppkey").text(f"{at}/samples")
-    logs.publish(logs.sample_events(spark, f"{at}/samples/*", "metadata"), f"{at}/log", 1)
+    # many tasks write the files, one a record, and each moves its own into place
+    (
+        samples.select("value").repartition(4 * spark.sparkContext.defaultParallelism).write.option("maxRecordsPerFile", 1)
+        .option("mapreduce.fileoutputcommitter.algorithm.version", 2).text(f"{at}/samples")
+    )
+    logs.publish(logs.sample_events(spark, f"{at}/samples", "metadata"), f"{at}/log", 1)
     return sinks.documents(logs.read_log(spark, f"{at}/log", C.TOPICS["metadata"])).select(
         "_id", "content_sha256", F.col("line_count").cast("long").alias("line_count"))
