@@ -394,12 +394,16 @@ def _run_folder(spark) -> str:
     return f"{shared_folder(spark)}/run-{uuid.uuid4().hex}"
 
 
-LOG_FILES = 4
+LOG_FILES = 4       # batches that a stream reads a log in, of as many files each as its size asks for
+LOG_FILE_ROWS = 250_000
 
 
 def _write_log(records, folder):
-    """A log in several files, so that most keys cross them and a later batch often holds an older record."""
-    records.repartition(LOG_FILES).write.mode("append").parquet(folder)
+    """A log in several batches of files, so that most keys cross them and a later batch often holds an older record. Gives
+    the number of files a batch, which keeps what one task writes and reads at about ``LOG_FILE_ROWS`` records."""
+    files = max(1, -(-records.count() // (LOG_FILES * LOG_FILE_ROWS)))
+    records.repartition(LOG_FILES * files).write.mode("append").parquet(folder)
+    return files
 
 
 def _with_batches(spark, state, target):
@@ -409,8 +413,8 @@ def _with_batches(spark, state, target):
     return state.withColumn("runs", count("run_id")).withColumn("batches", count("batch_id"))
 
 
-def _run_documents(spark, at, replays_within=None):
-    stream = logs.stream_log(spark, f"{at}/log", C.TOPICS["metadata"], files_per_trigger=1)
+def _run_documents(spark, at, files, replays_within=None):
+    stream = logs.stream_log(spark, f"{at}/log", C.TOPICS["metadata"], files_per_trigger=files)
     stream = logs.without_replays(stream, replays_within) if replays_within else stream
     sinks.start_documents(stream, f"{at}/table", f"{at}/checkpoint", None).awaitTermination()
 
@@ -430,8 +434,7 @@ _LAST_DOCUMENT_SQL = f"""
 def stream_upsert(spark, sf_dir):
     """Metadata stream end to end, in several batches: log folder -> keyed table -> current documents."""
     at = _run_folder(spark)
-    _write_log(_metadata_log(spark, sf_dir), f"{at}/log")
-    _run_documents(spark, at)
+    _run_documents(spark, at, _write_log(_metadata_log(spark, sf_dir), f"{at}/log"))
     return _stored_documents(spark, at)
 
 
@@ -441,11 +444,10 @@ def stream_restart(spark, sf_dir):
     a second time: one run by its checkpoint, and the same documents."""
     at = _run_folder(spark)
     records = _metadata_log(spark, sf_dir)
-    _write_log(records, f"{at}/log")
-    _run_documents(spark, at)
-    _run_documents(spark, at)
-    _write_log(records, f"{at}/log")
-    _run_documents(spark, at)
+    files = _write_log(records, f"{at}/log")
+    _run_documents(spark, at, files)
+    _run_documents(spark, at, files)
+    _run_documents(spark, at, _write_log(records, f"{at}/log"))
     return _stored_documents(spark, at)
 
 
@@ -457,8 +459,7 @@ def stream_suppressed(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("timestamp"))
     records = _metadata_log(spark, sf_dir).drop("timestamp").join(events, F.col("offset") == F.col("event_id")).drop("event_id")
     for _ in range(2):
-        _write_log(records, f"{at}/log")
-        _run_documents(spark, at, "60 days")
+        _run_documents(spark, at, _write_log(records, f"{at}/log"), "60 days")
     stored = sinks.stored(spark, f"{at}/table")
     twice = stored.groupBy("_id", "kafka_offset").count().where("count > 1").agg(F.count("*")).scalar()
     return sinks.current_documents(spark, f"{at}/table").select(
@@ -476,11 +477,9 @@ def stream_compacted(spark, sf_dir):
     records = _metadata_log(spark, sf_dir)
     middle = table(spark, sf_dir, "events").agg(F.percentile_approx("event_id", 0.5)).scalar()
     first = F.col("offset") < middle
-    _write_log(records.filter(first), f"{at}/log")
-    _run_documents(spark, at)
+    _run_documents(spark, at, _write_log(records.filter(first), f"{at}/log"))
     sinks.compact_documents(spark, f"{at}/table")
-    _write_log(records.filter(~first), f"{at}/log")
-    _run_documents(spark, at)
+    _run_documents(spark, at, _write_log(records.filter(~first), f"{at}/log"))
     return _stored_documents(spark, at)
 
 
@@ -501,11 +500,11 @@ def stream_errors(spark, sf_dir):
         ids.file_id(F.lit(REPOSITORY), user).alias("file_id"), user.alias("path"), F.lit("").alias("content_sha256"),
         key.alias("error_id"), F.lit("SyntaxError").alias("error_type"), F.col("props").alias("error_message"),
         F.lit(0).alias("lineno"), F.lit(0).alias("col_offset"))
-    _write_log(events.select(
+    files = _write_log(events.select(
         key.alias("key"), F.to_json(event).alias("value"), F.lit(C.TOPICS["error"]).alias("topic"),
         F.lit(0).alias("partition"), F.col("event_id").alias("offset"), F.col("ts").cast("timestamp").alias("timestamp"),
         F.lit(None).cast("long").alias("revision_seq")), f"{at}/log")
-    stream = logs.stream_log(spark, f"{at}/log", C.TOPICS["error"], files_per_trigger=1)
+    stream = logs.stream_log(spark, f"{at}/log", C.TOPICS["error"], files_per_trigger=files)
     sinks.start_errors(stream, f"{at}/table", f"{at}/checkpoint", None).awaitTermination()
     newest = sinks.stored(spark, f"{at}/table").agg(F.max("log_time")).scalar()
     recent = sinks.recent_errors(spark, f"{at}/table", newest).select("error_id", "offset", "error_type")
@@ -555,8 +554,8 @@ def stream_graph(spark, sf_dir):
         key.alias("key"), F.to_json(event).alias("value"), F.lit(C.TOPICS["node"]).alias("topic"),
         F.lit(0).alias("partition"), F.col("event_id").alias("offset"),
         F.lit(None).cast("timestamp").alias("timestamp"), F.lit(None).cast("long").alias("revision_seq"))
-    _write_log(records, f"{at}/log")
-    stream = logs.stream_log(spark, f"{at}/log", C.TOPICS["node"], files_per_trigger=1)
+    files = _write_log(records, f"{at}/log")
+    stream = logs.stream_log(spark, f"{at}/log", C.TOPICS["node"], files_per_trigger=files)
     sinks.start_graph(stream, "node", f"{at}/table", f"{at}/checkpoint", None).awaitTermination()
     return _with_batches(spark, sinks.current_nodes(sinks.stored(spark, f"{at}/table")).select("node_id", "offset"), f"{at}/table")
 
