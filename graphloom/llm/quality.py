@@ -172,31 +172,39 @@ def fit(documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     return train(x, np.array([r["y"] for r in rows], float))
 
 
-def score(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """All columns of ``documents`` but the text, with ``score`` (0 to 1).
+def score(documents: DataFrame, model: Model, text: str = "text", keep_text: bool = False) -> DataFrame:
+    """All columns of ``documents`` with ``score`` (0 to 1), but for the text unless ``keep_text`` asks for it, which then
+    comes back as it went in and as a last column before the score.
 
     Null texts are scored as empty ones, by the model. A column named score is replaced.
     """
     kept = [c for c in documents.columns if c not in (text, "score")]
     # bounded by the number of trees and their depth
     shared = documents.sparkSession.sparkContext.broadcast(tuple(model))
+    shown = [*kept, text] if keep_text else kept
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = Model(*shared.value)
         for batch in batches:
-            found = [evaluate(trees, statistics(p)) for p in W.slices(batch.column(0))]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], pa.array(np.concatenate(found) if found else [], pa.float64())], names=[*kept, "score"])
+            # a batch of long texts is passed on in pieces, so that no copy of the whole batch is made
+            for part in W.slices(batch.column(0)):
+                rows = batch.slice(part.first, len(part.offsets) - 1)
+                texts = [rows.column(0)] if keep_text else []
+                yield pa.RecordBatch.from_arrays(
+                    [*rows.columns[1:], *texts, pa.array(evaluate(trees, statistics(part)), pa.float64())], names=[*shown, "score"])
 
-    schema = T.StructType([*(documents.schema[c] for c in kept), T.StructField("score", T.DoubleType())])
-    return documents.select(F.col(text).cast("string").alias("__text"), *kept).mapInArrow(apply, schema)
+    asked = documents.select(F.col(text).cast("string").alias("__text"), *kept)
+    types = {**{f.name: f.dataType for f in documents.schema}, text: T.StringType()}
+    schema = T.StructType([*(T.StructField(c, types[c]) for c in shown), T.StructField("score", T.DoubleType())])
+    return asked.mapInArrow(apply, schema)
 
 
 def keep(documents: DataFrame, model: Model, least: float = 0.5, text: str = "text") -> DataFrame:
     """Documents with a score of at least ``least``, all of their columns unchanged."""
     names = documents.columns
-    # texts pass through the scoring step beside the copy that is scored
+    # the text goes to the workers once, and comes back from them
     plain = [f"c{i}" for i in range(len(names))]
-    passed = documents.select(F.col(text).alias("__scored"), *[F.col(f"`{c}`").alias(p) for c, p in zip(names, plain, strict=True)])
-    scored = score(passed, model, "__scored")
-    return scored.where(F.col("score") >= least).select(*[F.col(p).alias(c) for c, p in zip(names, plain, strict=True)])
+    passed = documents.select(*[F.col(f"`{c}`").alias(p) for c, p in zip(names, plain, strict=True)])
+    scored = score(passed, model, plain[names.index(text)], keep_text=True)
+    return scored.where(F.col("score") >= least).select(*[
+        F.col(p).cast(documents.schema[c].dataType).alias(c) for c, p in zip(names, plain, strict=True)])
