@@ -6,8 +6,10 @@ import re
 from pyspark.sql import functions as F
 
 from graphloom.llm import quality
+from graphloom.operators import graph
 from graphloom.plans import queries_changes, queries_graph
-from graphloom.plans.extract import metadata, resolved_places, syntax_rows
+from graphloom.plans.extract import extract, linked_edges, metadata, resolved_places, syntax_rows
+from graphloom.session import materialise
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -61,3 +63,19 @@ def test_sample_files_lie_in_one_folder_written_by_many_tasks(spark, monkeypatch
 
 
 real = queries_changes.logs.sample_events
+
+
+def test_linked_edges_are_those_of_the_whole_extraction(spark, files_of):
+    files = files_of({
+        "a.py": "try:\n    f()()\n    a.b(c)[0]()\nexcept OSError as e:\n    print(e)\nfinally:\n    pass\nwith x as y:\n    y += (lambda z: z)(1)\n",
+        "b.py": "def f(n=1):\n    global g\n    g = n\n    for i in g:\n        if i:\n            break\n    else:\n        f(i)\n    return g\nf(g)\n",
+        "broken.py": "def (:\n", "empty.py": ""})
+    columns = graph.EDGE_COLUMNS
+    whole = extract(files).edges.filter("edge_type <> 'AST'").select(*columns).collect()
+    assert sorted(linked_edges(files).select(*columns).collect()) == sorted(whole) and len(whole) > 20
+
+
+def test_ids_of_edges_cost_one_exchange_and_no_broadcast(spark, files_of):
+    flat = materialise(syntax_rows(files_of({"a.py": "a = 1\nprint(a)\n"})), "syntax")
+    found = plan(graph.with_ids(resolved_places(flat), flat))
+    assert found.count("Exchange hashpartitioning") == 1 and "Broadcast" not in found
