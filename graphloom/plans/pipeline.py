@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from graphloom import contract as C
 from graphloom.operators.feed import change_feed
+from graphloom.operators.sequence import merged
 from graphloom.plans import state
 from graphloom.plans.extract import Extraction, extract
 from graphloom.session import materialise
@@ -57,9 +58,9 @@ def run_batch(spark: SparkSession, files: DataFrame, at: Locations, revision_seq
 def changed_only(extraction: Extraction, previous: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Stored rows of files whose digests are not those of the extraction."""
     now = state.with_digests(extraction.files, extraction.nodes, extraction.edges)
-    same = now.join(previous["files"], ["file_id", "nodes_digest", "edges_digest"], "left_semi").select("file_id")
+    same = now.join(merged(previous["files"]), ["file_id", "nodes_digest", "edges_digest"], "left_semi").select("file_id")
     same = materialise(same, "unchanged")
-    return {name: rows.join(same, "file_id", "left_anti") for name, rows in previous.items()}
+    return {name: rows.join(merged(same), "file_id", "left_anti") for name, rows in previous.items()}
 
 
 def drain(spark: SparkSession, at: Locations) -> None:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 from datetime import datetime, timedelta, timezone
 
 from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphloom import contract as C
@@ -613,14 +615,17 @@ def recompute_compare(spark, sf_dir):
         commit_state(extract(batch), at.state, revision)
     again = extract(edited.unionByName(texts(suppliers.filter("not s_acctbal > 5000"), 0, 1)))
     stored = previous_state(spark, again.files, at.state, 3)
-    side = lambda df, kind, key, name: df.select("file_id", F.lit(kind).alias("kind"), F.col(key).alias("id"), F.lit(True).alias(name))
-    expected, actual = (side(n, "node", "node_id", name).unionByName(side(e, "edge", "edge_id", name)) for n, e, name in (
-        (again.nodes, again.edges, "expected"), (stored["nodes"], stored["edges"], "actual")))
-    both = expected.join(actual, ["file_id", "kind", "id"], "full")
-    return both.groupBy("file_id").agg(
-        F.count_if(F.col("expected") & (F.col("kind") == "node")).alias("nodes"),
-        F.count_if(F.col("expected") & (F.col("kind") == "edge")).alias("edges"),
-        F.count_if(F.col("actual").isNull()).alias("missing"), F.count_if(F.col("expected").isNull()).alias("stale"))
+    side = lambda df, kind, key, name: df.select("file_id", F.lit(kind).alias("kind"), F.col(key).alias("id"), F.lit(name).alias("side"))
+    both = functools.reduce(DataFrame.unionByName, (
+        side(df, kind, key, name) for name, found in (("expected", (again.nodes, again.edges)), ("actual", (stored["nodes"], stored["edges"])))
+        for kind, key, df in zip(("node", "edge"), ("node_id", "edge_id"), found, strict=True)))
+    # dealt out once, by file, for both steps: ids of a file lie together
+    per_id = both.repartition("file_id").groupBy("file_id", "kind", "id").agg(
+        *(F.count_if(F.col("side") == name).alias(name) for name in ("expected", "actual")))
+    rows = lambda name, where: F.coalesce(F.sum(F.when(where, F.col(name))), F.lit(0).cast("long"))
+    return per_id.groupBy("file_id").agg(
+        rows("expected", F.col("kind") == "node").alias("nodes"), rows("expected", F.col("kind") == "edge").alias("edges"),
+        rows("expected", F.col("actual") == 0).alias("missing"), rows("actual", F.col("expected") == 0).alias("stale"))
 
 
 @query(f"""

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from graphloom import contract as C
 from graphloom.operators.changes import set_digests
+from graphloom.operators.sequence import merged
 from graphloom.plans.extract import Extraction
 
 #: Rows of a partition that the first batch aims at, and the most digits of a file id that choose a partition.
@@ -103,13 +104,13 @@ def previous_state(spark: SparkSession, batch: DataFrame, root: str, revision_se
     found = {name: _rows(spark, root, name, commit, prefixes) for name in COLUMNS}
     if found["files"] is None:
         return None
-    return {name: rows.join(batch.select("file_id"), "file_id", "left_semi") for name, rows in found.items()}
+    return {name: rows.join(merged(batch.select("file_id")), "file_id", "left_semi") for name, rows in found.items()}
 
 
 def with_digests(files: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """``files`` with digests of their sets of node and edge ids."""
     for name, ids, key in (("nodes_digest", nodes, "node_id"), ("edges_digest", edges, "edge_id")):
-        files = files.join(set_digests(ids, "file_id", key, name), "file_id", "left")
+        files = files.join(merged(set_digests(ids, "file_id", key, name)), "file_id", "left")
     return files.withColumns({n: F.coalesce(n, F.lit("")) for n in ("nodes_digest", "edges_digest")})
 
 
@@ -137,7 +138,7 @@ def commit_state(extraction: Extraction, root: str, revision_seq: int, digits: i
         rows = rows.select(*COLUMNS[name])
         carried = _rows(spark, root, name, commit, prefixes)
         if carried is not None:
-            rows = rows.unionByName(carried.join(parsed.select("file_id"), "file_id", "left_anti"))
+            rows = rows.unionByName(carried.join(merged(parsed.select("file_id")), "file_id", "left_anti"))
         # a row without an id in every partition, so that one without rows replaces what its slot held
         marks = spark.range(1).select(F.explode(F.array(*map(F.lit, prefixes))).alias("prefix"))
         placed = rows.withColumn("prefix", _prefix(commit.digits)).unionByName(marks, allowMissingColumns=True).withColumns({

@@ -9,6 +9,7 @@ from graphloom.llm import quality
 from graphloom.operators import graph
 from graphloom.plans import queries_changes, queries_graph
 from graphloom.plans.extract import extract, linked_edges, metadata, resolved_places, syntax_rows
+from graphloom.plans.state import commit_state, previous_state
 from graphloom.session import materialise
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -79,3 +80,8 @@ def test_ids_of_edges_cost_one_exchange_and_no_broadcast(spark, files_of):
     flat = materialise(syntax_rows(files_of({"a.py": "a = 1\nprint(a)\n"})), "syntax")
     found = plan(graph.with_ids(resolved_places(flat), flat))
     assert found.count("Exchange hashpartitioning") == 1 and "Broadcast" not in found
+
+
+def test_recomputed_ids_are_dealt_out_by_file_once(spark):
+    found = plan(queries_changes.recompute_compare(spark, SF_DIR))
+    assert "Broadcast" not in found and "FullOuter" not in found
