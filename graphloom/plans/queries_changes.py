@@ -73,7 +73,7 @@ def _order_batch(spark, sf_dir):
         "c_acctbal", F.when(F.col("c_acctbal") < 0, "FAILED").otherwise("PARSED").alias("status"),
     ).withColumn("file_id", ids.file_id(F.col("repository"), F.col("path")))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus").join(
-        customers, F.col("o_custkey") == F.col("c_custkey"))
+        sequence.merged(customers), F.col("o_custkey") == F.col("c_custkey"))
     spath = F.concat(F.lit("root.orders["), F.col("o_orderkey").cast("string"), F.lit("]"))
     nodes = orders.withColumns({"structural_path": spath, "node_type": F.lit("Order")}).withColumn(
         "node_id", ids.node_id(F.col("file_id"), F.col("structural_path"), F.col("node_type")))

@@ -82,6 +82,14 @@ def test_ids_of_edges_cost_one_exchange_and_no_broadcast(spark, files_of):
     assert found.count("Exchange hashpartitioning") == 1 and "Broadcast" not in found
 
 
+def test_stored_state_is_not_broadcast(spark, files_of):
+    extraction, at = extract(files_of({"a.py": "a = 1\n", "b.py": "b = 2\n"})), queries_changes._run_folder(spark)
+    commit_state(extraction, at, 1)
+    found = previous_state(spark, extraction.files.filter("path = 'a.py'"), at, 2)
+    assert [r.path for r in found["nodes"].join(extraction.files, "file_id").select("path").distinct().collect()] == ["a.py"]
+    assert not any("Broadcast" in plan(df) for df in found.values())
+
+
 def test_recomputed_ids_are_dealt_out_by_file_once(spark):
     found = plan(queries_changes.recompute_compare(spark, SF_DIR))
     assert "Broadcast" not in found and "FullOuter" not in found
