@@ -8,12 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from graphloom import contract as C
-from graphloom.operators.sequence import latest_by_key
+from graphloom.operators.sequence import latest_by_key, merged
 
 
 def missing_from(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows of ``left`` whose key is not in ``right``."""
-    return left.join(right.select(*on), list(on), "left_anti")
+    return left.join(merged(right.select(*on)), list(on), "left_anti")
 
 
 def stale_rows(previous: DataFrame, current: DataFrame, touched: DataFrame, group: str, key: str) -> DataFrame:
@@ -21,7 +21,7 @@ def stale_rows(previous: DataFrame, current: DataFrame, touched: DataFrame, grou
 
     Groups that are not part of this batch keep all their rows.
     """
-    in_batch = previous.join(touched.select(group), group, "left_semi")
+    in_batch = previous.join(merged(touched.select(group)), group, "left_semi")
     return missing_from(in_batch, current, [group, key])
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from graphloom import contract as C
 from graphloom.functions import ids
 from graphloom.operators.changes import stale_rows
+from graphloom.operators.sequence import merged
 from graphloom.plans.extract import Extraction
 
 # --- fixed values: order of the events of one file ---------------------------------
@@ -95,7 +96,7 @@ def change_feed(
             continue
         key = C.KEYS[category]
         stale = stale_rows(previous.select("file_id", key, *keep), current, parsed, "file_id", key)
-        parts.append(events(stale.join(parsed, "file_id"), category, event_type, time, F.col(key)))
+        parts.append(events(stale.join(merged(parsed), "file_id"), category, event_type, time, F.col(key)))
     feed = parts[0]
     for part in parts[1:]:
         feed = feed.unionByName(part)

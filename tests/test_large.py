@@ -82,6 +82,10 @@ def test_ids_of_edges_cost_one_exchange_and_no_broadcast(spark, files_of):
     assert found.count("Exchange hashpartitioning") == 1 and "Broadcast" not in found
 
 
+def test_a_batch_of_orders_is_not_broadcast(spark):
+    assert "Broadcast" not in plan(queries_changes.run_summary(spark, SF_DIR))
+
+
 def test_stored_state_is_not_broadcast(spark, files_of):
     extraction, at = extract(files_of({"a.py": "a = 1\n", "b.py": "b = 2\n"})), queries_changes._run_folder(spark)
     commit_state(extraction, at, 1)
