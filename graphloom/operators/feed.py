@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from graphloom import contract as C
 from graphloom.functions import ids
-from graphloom.operators.changes import stale_rows
-from graphloom.operators.sequence import merged
 from graphloom.plans.extract import Extraction
 
 # --- fixed values: order of the events of one file ---------------------------------
@@ -68,6 +66,23 @@ def utc_text(when: Column) -> Column:
                                   "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
 
 
+def stale_in_files(previous: DataFrame, current: DataFrame, files: DataFrame, key: str) -> DataFrame:
+    """Rows of ``previous`` that their file no longer has, with the columns of ``files``, and for these files only.
+
+    All are dealt out once, by file, which is a bounded unit. In a file its own row comes first, as it has no key, and then
+    by key what the file has now before what it had.
+    """
+    mark = lambda df, had: df.withColumn("_had", F.lit(had))
+    rows = mark(previous, True).unionByName(
+        mark(current.select("file_id", key, F.col(key).alias("_has")), False), allowMissingColumns=True).unionByName(
+        mark(files, False), allowMissingColumns=True)
+    window = Window.partitionBy("file_id").orderBy(key, "_had").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carried = [n for n in files.columns if n != "file_id"]
+    seen = rows.withColumns({n: F.last(n, ignorenulls=True).over(window) for n in (*carried, "_has")})
+    gone = F.coalesce(F.col("_has") != F.col(key), F.lit(True))
+    return seen.filter(F.col("_had") & F.col(carried[0]).isNotNull() & gone).drop("_had", "_has")
+
+
 def change_feed(
     extraction: Extraction, previous_nodes: DataFrame | None = None,
     previous_edges: DataFrame | None = None, event_time: Column | None = None,
@@ -95,8 +110,8 @@ def change_feed(
         if previous is None:
             continue
         key = C.KEYS[category]
-        stale = stale_rows(previous.select("file_id", key, *keep), current, parsed, "file_id", key)
-        parts.append(events(stale.join(merged(parsed), "file_id"), category, event_type, time, F.col(key)))
+        stale = stale_in_files(previous.select("file_id", key, *keep), current, parsed, key)
+        parts.append(events(stale, category, event_type, time, F.col(key)))
     feed = parts[0]
     for part in parts[1:]:
         feed = feed.unionByName(part)

@@ -105,10 +105,10 @@ def first_records(log: DataFrame) -> DataFrame:
 
 
 def write_dump(feed: DataFrame, target: str) -> None:
-    """Dry run: JSON lines per category, in event order within a file; a source file's events share one."""
+    """Dry run: JSON lines per category, packed, in event order within a file; a source file's events share one."""
     (
         feed.repartition("file_id").sortWithinPartitions("category", "file_id", "op_rank", "ord").select("category", "value")
-        .write.mode("overwrite").partitionBy("category").text(target)
+        .write.mode("overwrite").option("compression", "gzip").partitionBy("category").text(target)
     )
 
 

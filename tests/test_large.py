@@ -6,11 +6,12 @@ import re
 from pyspark.sql import functions as F
 
 from graphloom.llm import quality
-from graphloom.operators import graph
+from graphloom.operators import feed, graph
 from graphloom.plans import queries_changes, queries_graph
 from graphloom.plans.extract import extract, linked_edges, metadata, resolved_places, syntax_rows
 from graphloom.plans.state import commit_state, previous_state
 from graphloom.session import materialise
+from graphloom.sources import logs
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -97,3 +98,19 @@ def test_stored_state_is_not_broadcast(spark, files_of):
 def test_recomputed_ids_are_dealt_out_by_file_once(spark):
     found = plan(queries_changes.recompute_compare(spark, SF_DIR))
     assert "Broadcast" not in found and "FullOuter" not in found
+
+
+def test_stale_rows_are_found_with_one_exchange(spark):
+    previous = spark.createDataFrame([("a", "1", "x"), ("a", "2", "y"), ("b", "3", "z"), ("c", "4", "w")], "file_id string, node_id string, more string")
+    current = spark.createDataFrame([("a", "2"), ("a", "3"), ("d", "4")], "file_id string, node_id string")
+    files = spark.createDataFrame([("a", "pa"), ("c", "pc"), ("d", "pd")], "file_id string, path string")
+    stale = feed.stale_in_files(previous, current, files, "node_id")
+    assert sorted(map(tuple, stale.select("file_id", "node_id", "more", "path").collect())) == [("a", "1", "x", "pa"), ("c", "4", "w", "pc")]
+    assert plan(stale).count("Exchange hashpartitioning") == 1 and "Join" not in plan(stale)
+
+
+def test_dumps_are_packed(spark):
+    at = queries_changes._run_folder(spark)
+    logs.write_dump(queries_changes._order_revision(spark, SF_DIR), at)
+    names = [n for _, _, found in os.walk(at) for n in found if n.startswith("part-")]
+    assert names and all(n.endswith(".gz") for n in names)
