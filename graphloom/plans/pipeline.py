@@ -50,7 +50,7 @@ def run_batch(spark: SparkSession, files: DataFrame, at: Locations, revision_seq
     if previous and skip_unchanged:
         previous = changed_only(extraction, previous)
     feed = materialise(change_feed(extraction, previous.get("nodes"), previous.get("edges"), event_time), "feed")
-    logs.publish(feed, at.log, revision_seq, partitions)
+    logs.publish(feed, at.log, revision_seq, partitions, by_file=True)
     state.commit_state(extraction, at.state, revision_seq)
     return extraction, feed
 

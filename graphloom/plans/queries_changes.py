@@ -177,12 +177,13 @@ def feed_order(spark, sf_dir):
     from all_events group by 1""")
 def log_topics(spark, sf_dir):
     """The feed as log records by topic. Only records of keys whose offsets follow the order of their events count."""
-    records = logs.log_records(_order_revision(spark, sf_dir), 1, partitions=4)
+    records = logs.log_records(_order_revision(spark, sf_dir), 1, partitions=4, by_file=True)
     rank = F.element_at(F.create_map(*(F.lit(x) for pair in feed.RANKS.items() for x in pair)), F.get_json_object("value", "$.event_type"))
     per_key = records.withColumn("rank", rank).groupBy("topic", "key").agg(
-        F.count("*").alias("n"), F.count_distinct("offset").alias("offsets"), F.collect_list(F.struct("offset", "rank")).alias("all"))
+        F.count("*").alias("n"), F.collect_list(F.struct("offset", "rank")).alias("all"))
     ranks = F.transform(F.array_sort("all"), lambda r: r["rank"])
-    whole = F.when((F.col("n") == F.col("offsets")) & (ranks == F.array_sort(ranks)), F.col("n"))
+    offsets = F.size(F.array_distinct(F.transform("all", lambda r: r["offset"])))
+    whole = F.when((F.col("n") == offsets) & (ranks == F.array_sort(ranks)), F.col("n"))
     return per_key.groupBy("topic").agg(F.sum(whole).alias("records"), F.count("*").alias("keys"))
 
 

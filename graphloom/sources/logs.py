@@ -24,13 +24,15 @@ def topic_of(category: Column) -> Column:
         F.concat(F.lit("no such event category: "), category)).cast("string"))
 
 
-def log_records(feed: DataFrame, revision_seq: int, partitions: int = 1) -> DataFrame:
+def log_records(feed: DataFrame, revision_seq: int, partitions: int = 1, by_file: bool = False) -> DataFrame:
     """Feed rows as log records, in order of their revision and, within it, of their offset.
 
     Offsets hold among the records of one key, which share a task: they follow event order and position, start
-    anew with each revision and have gaps. Nothing is sorted across tasks.
+    anew with each revision and have gaps. Nothing is sorted across tasks. ``by_file`` deals records out by file, for feeds
+    whose keys belong to one file each, as those of ``change_feed`` do: what a file's records share is then packed away.
     """
-    numbered = feed.repartition("key").sortWithinPartitions("key", "op_rank", "ord").withColumn(
+    dealt = ["file_id", "key"] if by_file else ["key"]
+    numbered = feed.repartition(dealt[0]).sortWithinPartitions(*dealt, "op_rank", "ord").withColumn(
         "offset", F.monotonically_increasing_id())
     return numbered.select(
         "key", "value", topic_of(F.col("category")).alias("topic"),
@@ -39,10 +41,10 @@ def log_records(feed: DataFrame, revision_seq: int, partitions: int = 1) -> Data
     )
 
 
-def publish(feed: DataFrame, target: str, revision_seq: int, partitions: int = 1) -> None:
+def publish(feed: DataFrame, target: str, revision_seq: int, partitions: int = 1, by_file: bool = False) -> None:
     """Append one revision to a folder log. Writing the same revision again replaces all of its topics,
     and it becomes visible only when the whole write has committed."""
-    revision = log_records(feed, revision_seq, partitions).drop("revision_seq")
+    revision = log_records(feed, revision_seq, partitions, by_file).drop("revision_seq")
     (
         revision.write.mode("overwrite").option("partitionOverwriteMode", "static")
         .partitionBy("topic").parquet(f"{target}/revision_seq={revision_seq}")

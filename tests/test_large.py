@@ -114,3 +114,14 @@ def test_dumps_are_packed(spark):
     logs.write_dump(queries_changes._order_revision(spark, SF_DIR), at)
     names = [n for _, _, found in os.walk(at) for n in found if n.startswith("part-")]
     assert names and all(n.endswith(".gz") for n in names)
+
+
+def test_log_records_of_a_file_share_a_task_and_keep_their_order(spark):
+    rows = [("node", f"{f}-{k}", "{}", f, f"o{rank}", rank, "0") for f in "abcdefgh" for k in range(20) for rank in (3, 0, 2)]
+    df = spark.createDataFrame(rows, "category string, key string, value string, file_id string, event_type string, op_rank int, ord string")
+    found = logs.log_records(df.withColumn("value", F.col("op_rank").cast("string")), 1, by_file=True).select("key", "offset", "value").collect()
+    tasks, order = {}, {}
+    for r in sorted(found, key=lambda r: r.offset):
+        tasks.setdefault(r.key.split("-")[0], set()).add(r.offset >> 33)
+        order.setdefault(r.key, []).append(r.value)
+    assert len(found) == len(rows) and all(len(t) == 1 for t in tasks.values()) and all(v == ["0", "2", "3"] for v in order.values())
