@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from graphloom import contract as C
-from graphloom.operators.sequence import latest_by_key, merged
+from graphloom.functions import ids
+from graphloom.operators.sequence import latest_by_key, merged, packed_ids
 
 
 def missing_from(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -83,6 +84,40 @@ def with_placeholders(nodes: DataFrame, edges: DataFrame, key: str, source: str,
     return nodes.unionByName(placeholders(nodes, edges, key, source, target), allowMissingColumns=True)
 
 
+def graph_in_files(nodes: DataFrame, edges: DataFrame, order: Sequence[str]) -> DataFrame:
+    """(file_id, kind, id) of the current nodes and edges, kind ``node`` or ``edge``, and of the placeholders, with that
+    kind and without a file: what ``apply_changes``, ``detach`` and ``with_placeholders`` give, if edges stay in their file
+    and an id belongs to one file.
+
+    ``nodes`` and ``edges`` are changes: file_id, own_id, deleted, changed_at and the columns of ``order``; edges also have
+    source_id and target_id. Everything is dealt out once, by file, with packed ids. In a file the last change of each id
+    counts; then the ends of its edges are sorted behind the node they name.
+    """
+    rows = nodes.withColumn("kind", F.lit("node")).unionByName(edges.withColumn("kind", F.lit("edge")), allowMissingColumns=True)
+    deleted = F.coalesce("deleted", F.lit(False))
+    last = packed_ids(rows).repartition("file_id").groupBy("file_id", "kind", "own_id").agg(
+        F.max_by(F.struct(deleted.alias("deleted"), "source_id", "target_id", "changed_at"), F.struct(*order)).alias("_last"),
+        F.max(F.when(deleted, F.col("changed_at"))).alias("gone_at")).select("file_id", "kind", "own_id", "_last.*", "gone_at")
+    is_node, own = F.col("kind") == "node", F.col("own_id")
+    end = lambda node: F.struct(node.alias("node_id"), own.alias("own_id"))
+    touched = last.filter(is_node | ~F.col("deleted")).withColumn(
+        "_ends", F.when(is_node, F.array(end(own))).otherwise(F.array(end(F.col("source_id")), end(F.col("target_id")))))
+    ends = touched.select("file_id", "kind", "deleted", "gone_at", "changed_at", F.inline("_ends"))
+    # a node comes before the ends that name it
+    window = Window.partitionBy("file_id").orderBy("node_id", F.desc("kind")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    node = F.last(F.when(is_node, F.struct("node_id", "deleted", "gone_at")), ignorenulls=True).over(window)
+    named = F.coalesce(F.col("_node.node_id") == F.col("node_id"), F.lit(False))
+    alive = named & ~F.col("_node.deleted")
+    gone_at = F.when(named, F.col("_node.gone_at"))
+    stays = F.when(is_node, alive).otherwise(F.coalesce(gone_at.isNull() | (F.col("changed_at") >= gone_at), F.lit(False)))
+    found = ends.withColumn("_node", node).groupBy("file_id", "kind", "own_id").agg(
+        F.bool_and(stays).alias("_stays"), F.collect_set(F.when(~is_node & ~alive, F.col("node_id"))).alias("_unknown"))
+    entry = lambda kind, id, placeholder: F.struct(kind.alias("kind"), id.alias("own_id"), F.lit(placeholder).alias("placeholder"))
+    view = found.filter("_stays").select("file_id", F.inline(F.concat(
+        F.array(entry(F.col("kind"), own, False)), F.transform("_unknown", lambda id: entry(F.lit("node"), id, True))))).distinct()
+    return view.select(F.when(~F.col("placeholder"), F.col("file_id")).alias("file_id"), "kind", ids.unpacked(own).alias("id"))
+
+
 def retain(log: DataFrame, time: str, now: Column, days: int = C.ERROR_RETENTION_DAYS) -> DataFrame:
     """Records not older than ``days``."""
     return log.filter(F.col(time) >= now - F.expr(f"interval {days} days"))

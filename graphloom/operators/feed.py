@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from graphloom import contract as C
 from graphloom.functions import ids
+from graphloom.operators.sequence import dealt_by_file, packed_ids, unpacked_ids
 from graphloom.plans.extract import Extraction
 
 # --- fixed values: order of the events of one file ---------------------------------
@@ -69,34 +70,39 @@ def utc_text(when: Column) -> Column:
 def stale_in_files(previous: DataFrame, current: DataFrame, files: DataFrame, key: str) -> DataFrame:
     """Rows of ``previous`` that their file no longer has, with the columns of ``files``, and for these files only.
 
-    All are dealt out once, by file, which is a bounded unit. In a file its own row comes first, as it has no key, and then
-    by key what the file has now before what it had.
+    All are dealt out once, by file, which is a bounded unit, with packed ids. In a file its own row comes first, as it has no
+    key, and then by key what the file has now before what it had.
     """
     mark = lambda df, had: df.withColumn("_had", F.lit(had))
     rows = mark(previous, True).unionByName(
-        mark(current.select("file_id", key, F.col(key).alias("_has")), False), allowMissingColumns=True).unionByName(
+        mark(current.select("file_id", key), False), allowMissingColumns=True).unionByName(
         mark(files, False), allowMissingColumns=True)
+    rows = packed_ids(rows).repartition("file_id").withColumn("_has", F.when(~F.col("_had"), F.col(key)))
     window = Window.partitionBy("file_id").orderBy(key, "_had").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     carried = [n for n in files.columns if n != "file_id"]
     seen = rows.withColumns({n: F.last(n, ignorenulls=True).over(window) for n in (*carried, "_has")})
     gone = F.coalesce(F.col("_has") != F.col(key), F.lit(True))
-    return seen.filter(F.col("_had") & F.col(carried[0]).isNotNull() & gone).drop("_had", "_has")
+    return unpacked_ids(seen.filter(F.col("_had") & F.col(carried[0]).isNotNull() & gone).drop("_had", "_has"))
 
 
 def change_feed(
     extraction: Extraction, previous_nodes: DataFrame | None = None,
-    previous_edges: DataFrame | None = None, event_time: Column | None = None,
+    previous_edges: DataFrame | None = None, event_time: Column | None = None, by_file: bool = False,
 ) -> DataFrame:
     """All events of a batch of files against the state before it.
 
     Only parsed files are diffed: a failed file gives its error and zero counts and keeps what it
-    had. Files outside the batch are not touched. Deletes carry the hash of the new revision.
+    had. Files outside the batch are not touched. Deletes carry the hash of the new revision. ``by_file`` deals the nodes and
+    edges out by file before their texts are made, for a feed that is written as it is.
     """
+    nodes, edges = extraction.nodes, extraction.edges
+    if by_file:
+        nodes, edges = extraction.dealt or (dealt_by_file(nodes), dealt_by_file(edges))
     time = utc_text(F.current_timestamp()) if event_time is None else event_time
     position = F.lpad(F.col("ord").cast("string"), 20, "0")
     parts = [
-        events(extraction.nodes, "node", C.NODE_UPSERT, time, position),
-        events(extraction.edges, "edge", C.EDGE_UPSERT, time, position),
+        events(nodes, "node", C.NODE_UPSERT, time, position),
+        events(edges, "edge", C.EDGE_UPSERT, time, position),
         events(extraction.errors, "error", C.PARSER_ERROR, time, F.col("error_id")),
         events(extraction.metadata, "metadata", C.FILE_METADATA_UPSERT, time, F.col("file_id")),
     ]

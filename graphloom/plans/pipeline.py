@@ -43,14 +43,15 @@ def run_batch(spark: SparkSession, files: DataFrame, at: Locations, revision_seq
 
     The state advances only after the log was written. A batch that stops in between can be run
     again under the same number and replaces what it left behind. With ``skip_unchanged`` the ids of a file are compared
-    with the stored ones only if the digests of the two sets differ; what is published is the same either way.
+    with the stored ones only if the digests of the two sets differ; what is published is the same either way. The feed is
+    read from the log.
     """
     extraction = extract(files)
-    previous = state.previous_state(spark, extraction.files, at.state, revision_seq) or {}
+    previous = state.previous_state(spark, extraction.files, at.state, revision_seq, whole=True) or {}
     if previous and skip_unchanged:
         previous = changed_only(extraction, previous)
-    feed = materialise(change_feed(extraction, previous.get("nodes"), previous.get("edges"), event_time), "feed")
-    logs.publish(feed, at.log, revision_seq, partitions, by_file=True)
+    changes = change_feed(extraction, previous.get("nodes"), previous.get("edges"), event_time, by_file=True)
+    feed = logs.publish_changes(changes, at.log, revision_seq, partitions)
     state.commit_state(extraction, at.state, revision_seq)
     return extraction, feed
 
@@ -67,7 +68,7 @@ def drain(spark: SparkSession, at: Locations) -> None:
     """Run every sink until the log is stored."""
     for category in ("node", "edge"):
         log = logs.stream_log(spark, at.log, C.TOPICS[category])
-        sinks.start_graph(log, category, at.table(category), at.checkpoint(category), None).awaitTermination()
+        sinks.start_graph(log, category, at.table(category), at.checkpoint(category), None, by_file=True).awaitTermination()
     log = logs.stream_log(spark, at.log, C.TOPICS["metadata"])
     sinks.start_documents(log, at.table("metadata"), at.checkpoint("metadata"), None).awaitTermination()
     log = logs.stream_log(spark, at.log, C.TOPICS["error"])

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from graphloom import contract as C
 from graphloom.functions import ids, text
-from graphloom.operators import changes, checks, feed, sequence
+from graphloom.operators import changes, feed, sequence
 from graphloom.plans import derived
 from graphloom.plans.catalog import REPOSITORY, query, table
 from graphloom.plans.extract import Extraction, extract
@@ -589,8 +589,9 @@ def replay_graph(spark, sf_dir):
     run_batch(spark, texts(suppliers, 0, 1), at, 1, partitions=4)
     run_batch(spark, edited.unionByName(broken), at, 2, partitions=4)
     drain(spark, at)
-    nodes, edges = sinks.graph_view(spark, at.table("node"), at.table("edge"))
-    counted = checks.counts_by_file(nodes, edges)
+    current = sinks.graph_by_file(spark, at.table("node"), at.table("edge"))
+    counted = current.groupBy("file_id").agg(
+        *(F.count_if(F.col("kind") == kind).alias(f"file_{kind}s") for kind in ("node", "edge")))
     documents = sinks.current_documents(spark, at.table("metadata")).select(
         "file_id", "path", F.col("dfg_edge_count").cast("long").alias("dfg_edge_count"), "status")
     return documents.join(counted, "file_id", "full").select(

@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 
 from graphloom import contract as C
 from graphloom.operators.changes import set_digests
-from graphloom.operators.sequence import merged
+from graphloom.operators.sequence import merged, packed_ids, unpacked_ids
 from graphloom.plans.extract import Extraction
+from graphloom.session import ID_TABLES
 
 #: Rows of a partition that the first batch aims at, and the most digits of a file id that choose a partition.
 PARTITION_ROWS = 1_000_000
@@ -92,10 +93,12 @@ def _schema(name: str) -> str:
     return ", ".join(f"{c} string" for c in COLUMNS[name]) + ", state_version int, prefix string, slot int"
 
 
-def previous_state(spark: SparkSession, batch: DataFrame, root: str, revision_seq: int) -> dict[str, DataFrame] | None:
+def previous_state(spark: SparkSession, batch: DataFrame, root: str, revision_seq: int, whole: bool = False
+                   ) -> dict[str, DataFrame] | None:
     """Stored ``files``, ``nodes`` and ``edges`` of the batch's files before a revision; None without any.
 
     Reads the partitions of the batch's prefixes. Runs a job to find them (at most 16 ** ``MOST_DIGITS`` values).
+    ``whole`` gives all files of these partitions, for steps that pick out the batch's files by themselves.
     """
     commit = last_commit(spark, root, revision_seq)
     if commit is None:
@@ -104,7 +107,9 @@ def previous_state(spark: SparkSession, batch: DataFrame, root: str, revision_se
     found = {name: _rows(spark, root, name, commit, prefixes) for name in COLUMNS}
     if found["files"] is None:
         return None
-    return {name: rows.join(merged(batch.select("file_id")), "file_id", "left_semi") for name, rows in found.items()}
+    if whole:
+        return found
+    return {name: unpacked_ids(packed_ids(rows).join(merged(batch.select("file_id")), "file_id", "left_semi")) for name, rows in found.items()}
 
 
 def with_digests(files: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -135,16 +140,17 @@ def commit_state(extraction: Extraction, root: str, revision_seq: int, digits: i
     for name, rows in written.items():
         if slot_of is None:
             break
-        rows = rows.select(*COLUMNS[name])
+        rows = packed_ids(rows.select(*COLUMNS[name]))
         carried = _rows(spark, root, name, commit, prefixes)
         if carried is not None:
-            rows = rows.unionByName(carried.join(merged(parsed.select("file_id")), "file_id", "left_anti"))
+            rows = rows.unionByName(packed_ids(carried).join(merged(parsed.select("file_id")), "file_id", "left_anti"))
         # a row without an id in every partition, so that one without rows replaces what its slot held
         marks = spark.range(1).select(F.explode(F.array(*map(F.lit, prefixes))).alias("prefix"))
         placed = rows.withColumn("prefix", _prefix(commit.digits)).unionByName(marks, allowMissingColumns=True).withColumns({
             "state_version": F.lit(C.STATE_VERSION), "slot": F.element_at(slot_of, F.col("prefix"))})
         (
-            placed.hint("rebalance", F.col("prefix")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            unpacked_ids(placed.hint("rebalance", F.col("prefix"))).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").option("compression", ID_TABLES)
             .partitionBy("prefix", "slot").parquet(f"{root}/{name}")
         )
     rows = [(p, s, revision_seq, commit.digits, C.STATE_VERSION) for p, s in sorted({**commit.slots, **slots}.items())]

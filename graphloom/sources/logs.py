@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from graphloom import contract as C
 from graphloom.operators.sequence import first_by_group
+from graphloom.session import ID_TABLES
 
 
 def topic_of(category: Column) -> Column:
@@ -34,21 +35,45 @@ def log_records(feed: DataFrame, revision_seq: int, partitions: int = 1, by_file
     dealt = ["file_id", "key"] if by_file else ["key"]
     numbered = feed.repartition(dealt[0]).sortWithinPartitions(*dealt, "op_rank", "ord").withColumn(
         "offset", F.monotonically_increasing_id())
+    return _as_records(numbered, revision_seq, partitions)
+
+
+def _as_records(numbered: DataFrame, revision_seq: int, partitions: int, more: Sequence[str] = ()) -> DataFrame:
     return numbered.select(
         "key", "value", topic_of(F.col("category")).alias("topic"),
         F.pmod(F.xxhash64("key"), F.lit(partitions)).cast("int").alias("partition"), "offset",
-        F.current_timestamp().alias("timestamp"), F.lit(revision_seq).cast("long").alias("revision_seq"),
+        F.current_timestamp().alias("timestamp"), F.lit(revision_seq).cast("long").alias("revision_seq"), *more,
+    )
+
+
+def _write_revision(records: DataFrame, target: str, revision_seq: int) -> None:
+    (
+        records.drop("revision_seq").write.mode("overwrite").option("partitionOverwriteMode", "static")
+        .option("compression", ID_TABLES).partitionBy("topic").parquet(f"{target}/revision_seq={revision_seq}")
     )
 
 
+def publish_changes(feed: DataFrame, target: str, revision_seq: int, partitions: int = 1) -> DataFrame:
+    """Append a batch's ``change_feed`` as one revision, and give the feed back as it was written.
+
+    No key comes twice in such a feed, so any offsets will do, and records stay with the tasks that make them. The feed's own
+    columns lie beside those of the log, whose readers leave them out; a position that is the key itself is not written again.
+    Otherwise as ``publish``.
+    """
+    own = ["file_id", "event_type", "op_rank", "ord"]
+    records = _as_records(feed.withColumns({
+        "offset": F.monotonically_increasing_id(), "ord": F.nullif("ord", "key")}), revision_seq, partitions, own)
+    _write_revision(records, target, revision_seq)
+    topics = F.create_map(*(F.lit(v) for name, topic in C.TOPICS.items() for v in (topic, name)))
+    written = T.StructType([C.ENVELOPE["key"], C.ENVELOPE["value"], C.ENVELOPE["topic"], *(feed.schema[name] for name in own)])
+    return feed.sparkSession.read.schema(written).parquet(f"{target}/revision_seq={revision_seq}").select(
+        F.element_at(topics, F.col("topic")).alias("category"), "key", "value", *own[:3], F.coalesce("ord", "key").alias("ord"))
+
+
 def publish(feed: DataFrame, target: str, revision_seq: int, partitions: int = 1, by_file: bool = False) -> None:
     """Append one revision to a folder log. Writing the same revision again replaces all of its topics,
     and it becomes visible only when the whole write has committed."""
-    revision = log_records(feed, revision_seq, partitions, by_file).drop("revision_seq")
-    (
-        revision.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        .partitionBy("topic").parquet(f"{target}/revision_seq={revision_seq}")
-    )
+    _write_revision(log_records(feed, revision_seq, partitions, by_file), target, revision_seq)
 
 
 def publish_kafka(feed: DataFrame, servers: str, options: Mapping[str, str] | None = None) -> None:

@@ -19,7 +19,8 @@ from pyspark.sql.streaming.query import StreamingQuery
 from graphloom import contract as C
 from graphloom.functions import text
 from graphloom.operators import changes
-from graphloom.operators.sequence import latest_by_key
+from graphloom.operators.sequence import dealt_by_file, latest_by_key
+from graphloom.session import ID_TABLES
 
 # a foreign log has no revision numbers: its offsets alone decide
 DOCUMENT_ORDER = ("revision_seq", "kafka_offset")
@@ -94,27 +95,30 @@ def _run_id(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(lines[0][0])["id"]
 
 
-def keyed_writer(target: str, checkpoint: str, key: Sequence[str], order: Sequence[str]
+def keyed_writer(target: str, checkpoint: str, key: Sequence[str], order: Sequence[str], by_file: bool = False
                  ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function that stores the last row per key of each batch; without a key,
-    all rows."""
+    all rows. ``by_file`` is for keys that belong to one file each: its rows are dealt out and stored together."""
     def write(batch: DataFrame, batch_id: int) -> None:
         run = _run_id(batch.sparkSession, checkpoint)
-        rows = latest_by_key(batch, key, order) if key else batch
+        if by_file:
+            rows = latest_by_key(dealt_by_file(batch), ["file_id", *key], order)
+        else:
+            rows = latest_by_key(batch, key, order) if key else batch
         (
             rows.withColumn("state_version", F.lit(C.STATE_VERSION))
-            .write.mode("overwrite").parquet(f"{target}/run_id={run}/batch_id={batch_id}")
+            .write.mode("overwrite").option("compression", ID_TABLES).parquet(f"{target}/run_id={run}/batch_id={batch_id}")
         )
     return write
 
 
 def start(stream: DataFrame, target: str, checkpoint: str, key: Sequence[str], order: Sequence[str],
-          name: str, trigger: str | None = "5 seconds") -> StreamingQuery:
+          name: str, trigger: str | None = "5 seconds", by_file: bool = False) -> StreamingQuery:
     """Run a sink continuously, or with ``trigger=None`` until all present input is stored."""
     writer = (
         stream.writeStream.queryName(name).outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(keyed_writer(target, checkpoint, key, order))
+        .foreachBatch(keyed_writer(target, checkpoint, key, order, by_file))
     )
     timed = writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
     return timed.start()
@@ -126,11 +130,12 @@ def start_documents(log: DataFrame, target: str, checkpoint: str, trigger: str |
 
 
 def start_graph(log: DataFrame, category: str, target: str, checkpoint: str,
-                trigger: str | None = "5 seconds"):
+                trigger: str | None = "5 seconds", by_file: bool = False):
     """Node or edge sink. It keeps the last upsert and the last delete of a key, because detaching
-    needs to know of a delete even when the node came back."""
+    needs to know of a delete even when the node came back. ``by_file`` is for logs of ``change_feed``, whose keys belong to
+    one file each."""
     return start(graph_changes(log, category), target, checkpoint, [C.KEYS[category], "event_type"],
-                 GRAPH_ORDER, f"graph_{category}s", trigger)
+                 GRAPH_ORDER, f"graph_{category}s", trigger, by_file)
 
 
 def start_errors(log: DataFrame, target: str, checkpoint: str, trigger: str | None = "5 seconds"):
@@ -230,6 +235,15 @@ def graph_view(spark: SparkSession, nodes_at: str, edges_at: str) -> tuple[DataF
     return nodes, edges
 
 
+def graph_by_file(spark: SparkSession, nodes_at: str, edges_at: str) -> DataFrame:
+    """What ``graph_view`` holds, as (file_id, kind, id) alone, for logs of ``change_feed``: one exchange, by file."""
+    rows = lambda at, *ends: stored(spark, at).select(
+        "file_id", F.col(ends[0]).alias("own_id"), *ends[1:], F.col("event_type").endswith("_DELETE").alias("deleted"),
+        *GRAPH_ORDER, "changed_at")
+    return changes.graph_in_files(
+        rows(nodes_at, "node_id"), rows(edges_at, "edge_id", "source_id", "target_id"), GRAPH_ORDER)
+
+
 def compact(spark: SparkSession, target: str, key: Sequence[str], order: Sequence[str]) -> None:
     """Fold the batches that a table holds now into one base with the last row per key. The stream may go on meanwhile.
 
@@ -247,7 +261,7 @@ def compact(spark: SparkSession, target: str, key: Sequence[str], order: Sequenc
         known = known | ((F.col("run_id") == name) & (F.col("batch_id") <= last))
     (
         latest_by_key(now.where(known).drop(*_PARTITION), key, order).withColumn("state_version", F.lit(C.STATE_VERSION))
-        .write.mode("overwrite").parquet(f"{target}/run_id={after.base}/batch_id=0")
+        .write.mode("overwrite").option("compression", ID_TABLES).parquet(f"{target}/run_id={after.base}/batch_id=0")
     )
     rows = [(after.generation, run, last) for run, last in sorted(after.upto.items())]
     spark.createDataFrame(rows, "generation long, run string, upto long").coalesce(1).write.mode("overwrite").parquet(

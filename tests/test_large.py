@@ -1,17 +1,22 @@
 """What keeps work small on large tables: how much is sent, shuffled or done by one task."""
 
+import json
 import os
 import re
 
 from pyspark.sql import functions as F
 
+from graphloom import contract as C
+from graphloom.functions import ids
 from graphloom.llm import quality
-from graphloom.operators import feed, graph
+from graphloom.operators import changes, feed, graph
 from graphloom.plans import queries_changes, queries_graph
 from graphloom.plans.extract import extract, linked_edges, metadata, resolved_places, syntax_rows
+from graphloom.plans.pipeline import Locations, drain, run_batch
 from graphloom.plans.state import commit_state, previous_state
 from graphloom.session import materialise
 from graphloom.sources import logs
+from graphloom.streaming import sinks
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -125,3 +130,63 @@ def test_log_records_of_a_file_share_a_task_and_keep_their_order(spark):
         tasks.setdefault(r.key.split("-")[0], set()).add(r.offset >> 33)
         order.setdefault(r.key, []).append(r.value)
     assert len(found) == len(rows) and all(len(t) == 1 for t in tasks.values()) and all(v == ["0", "2", "3"] for v in order.values())
+
+
+def test_packed_ids_are_the_same_ids(spark):
+    texts = ["a" * 64, "0123456789abcdef" * 4, "A" * 64, "a" * 64 + "\n", "a" * 63, "x" * 32, "", "\x01" + "a" * 32, "é", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "n int, id string")
+    found = df.withColumn("p", ids.packed(F.col("id"))).select("n", F.octet_length("p").alias("size"), ids.unpacked(F.col("p")).alias("back")).orderBy("n").collect()
+    assert [r.back for r in found] == texts and [r.size for r in found[:3]] == [33, 33, 65]
+
+
+def test_the_graph_of_a_feed_is_found_with_one_exchange(spark):
+    """Current, deleted and returned nodes, detached edges and unknown ends: as the general operators have it."""
+    up, down = ("NODE_UPSERT", "EDGE_UPSERT"), ("NODE_DELETE", "EDGE_DELETE")
+    node = lambda f, i, seq, kind=up: (f"f{f}", f"n{f}{i}", kind[0], seq, seq, seq)
+    edge = lambda f, i, a, b, seq, kind=up: (f"f{f}", f"e{f}{i}", f"n{f}{a}", f"n{f}{b}", kind[1], seq, seq, seq)
+    order = "revision_seq long, offset long, changed_at long"
+    nodes = spark.createDataFrame(
+        [node(f, 1, 1) for f in range(3)] + [node(f, 2, s, k) for f in range(2) for s, k in ((1, up), (2, down))]
+        + [node(0, 3, s, k) for s, k in ((1, up), (2, down), (3, up))], f"file_id string, node_id string, event_type string, {order}")
+    edges = spark.createDataFrame(
+        [edge(0, 1, 1, 2, 1), edge(0, 2, 1, 3, 1), edge(0, 3, 1, 3, 3), edge(0, 4, 1, 4, 1), edge(0, 5, 4, 1, 2), edge(0, 6, 1, 2, 2),
+         edge(1, 1, 1, 1, 1), edge(1, 1, 1, 1, 2, down), edge(1, 2, 1, 5, 1), edge(1, 2, 2, 1, 4)],
+        f"file_id string, edge_id string, source_id string, target_id string, event_type string, {order}")
+    kept = sinks.current_edges(edges, nodes)
+    view = changes.with_placeholders(sinks.current_nodes(nodes), kept, "node_id", "source_id", "target_id")
+    wanted = [(r.file_id, "node", r.node_id) for r in view.collect()] + [(r.file_id, "edge", r.edge_id) for r in kept.collect()]
+    change = lambda df, own: df.withColumnRenamed(own, "own_id").withColumn("deleted", F.col("event_type").endswith("_DELETE")).drop("event_type")
+    found = changes.graph_in_files(change(nodes, "node_id"), change(edges, "edge_id"), sinks.GRAPH_ORDER)
+    assert plan(found).count("Exchange hashpartitioning") == 1 and "Join" not in plan(found)
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(tuple, found.collect()), key=key) == sorted(wanted, key=key)
+    assert {r[2] for r in wanted if r[0] is None} == {"n04", "n02", "n12"} and ("f0", "edge", "e02") not in wanted
+
+
+def test_a_batch_is_written_once_and_dealt_out_before_its_texts_are_made(spark, files_of, tmp_path, monkeypatch):
+    """The feed is read from the log, and the log is written without a shuffle of event texts."""
+    plans = []
+    write = logs._write_revision
+    monkeypatch.setattr(logs, "_write_revision", lambda records, *rest: (plans.append(plan(records)), write(records, *rest)))
+    at = Locations(str(tmp_path))
+    _, first = run_batch(spark, files_of({"a.py": "x = 1\ny = x\n", "b.py": "if ready go\n"}), at, 1)
+    assert first.columns == list(feed.FEED_COLUMNS)
+    _, second = run_batch(spark, files_of({"a.py": "x = 1\n"}), at, 2)
+    for found in plans:
+        below = []      # depths of the exchanges above a line
+        for line in found.splitlines():
+            depth = len(line) - len(line.lstrip(" :+-"))
+            below = [d for d in below if d < depth] + [depth] * ("Exchange" in line)
+            assert not (below and "AS op_rank" in line)
+        assert "AS op_rank" in found and "Exchange" in found
+    found = {r.key: r for r in second.collect()}
+    logged = spark.read.schema(C.ENVELOPE).parquet(at.log).filter("revision_seq = 2").collect()
+    assert {(r.key, r.value) for r in logged} == {(r.key, r.value) for r in found.values()} and len(logged) == len(found)
+    deleted = [r for r in found.values() if r.event_type == C.NODE_DELETE]
+    assert deleted and all((r.ord, r.category, r.op_rank) == (r.key, "node", 1) for r in deleted)
+    assert all(len(r.ord) == 20 for r in found.values() if r.event_type == C.NODE_UPSERT)
+    assert first.count() == 10 + 11 + 1 + 2
+    # what the sinks, the log and the state store is packed, too
+    drain(spark, at)
+    names = [os.path.join(d, n) for d, _, found in os.walk(tmp_path) for n in found if n.endswith(".parquet") and "commits" not in d]
+    assert len(names) > 5 and all(".zstd." in n for n in names)
