@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from graphloom import contract as C
 from graphloom.functions import ids
 from graphloom.llm import quality
-from graphloom.operators import changes, feed, graph
+from graphloom.operators import changes, feed, graph, names, sequence
 from graphloom.plans import queries_changes, queries_graph
 from graphloom.plans.extract import extract, linked_edges, metadata, resolved_places, syntax_rows
 from graphloom.plans.pipeline import Locations, drain, run_batch
@@ -88,6 +88,36 @@ def test_ids_of_edges_cost_one_exchange_and_no_broadcast(spark, files_of):
     assert found.count("Exchange hashpartitioning") == 1 and "Broadcast" not in found
 
 
+NAMES = {
+    "a.py": "def f(n=1):\n    global g\n    g = n\n    for i in g:\n        if i:\n            f(i)\n        else:\n            break\n    return g\nf(g)\ng += f\n",
+    "b.py": "def f():\n    x = y = 1\n    def keep():\n        nonlocal x\n        x = y\n        return x\n    with y as z:\n        keep()(z)\n    return x\n",
+    "c.py": "try:\n    a = f()\nexcept E as e:\n    print(e, a)\nfinally:\n    while a:\n        pass\n"}
+
+
+def test_rows_of_a_file_are_dealt_out_once_for_each_kind_of_edge(spark, files_of):
+    flat = materialise(syntax_rows(files_of(NAMES), texts=False), "syntax")
+    facts = materialise(names.scope_facts(flat), "scopes")
+    plain = names._reached(names._passed(names.name_uses(flat.filter(~names._odd())), facts.filter("not is_odd")))
+    for df in (graph.follow_places(flat, bounded=True), names.call_places(flat, facts), plain):
+        assert plan(df).count("Exchange hashpartitioning") == 1 and "Join" not in plan(df)
+
+
+def test_successors_in_bounded_files_are_those_that_joins_find(spark, files_of):
+    flat = materialise(syntax_rows(files_of(NAMES), texts=False), "syntax")
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    found = rows(graph.follow_places(flat, bounded=True))
+    assert found == rows(graph.follow_places(flat)) and len(found) > 10
+    steps = spark.createDataFrame([(1, 0, 0, 5), (1, 0, 1, 6), (1, 0, 3, 7), (1, 2, 4, 8), (2, 0, 0, 9)], "file int, block int, i int, pos int")
+    stepped = sequence.next_in_block(steps, ["file", "block"], "i", {"pos": "next"}, within=["file"])
+    assert {r.pos: r.next for r in stepped.collect()} == {5: 6, 6: None, 7: None, 8: None, 9: None}
+
+
+def test_only_names_declared_nonlocal_take_the_general_way(spark, files_of):
+    flat = materialise(syntax_rows(files_of(NAMES), texts=False), "syntax")
+    assert {r.name for r in names.name_uses(flat.filter(names._odd())).select("name").collect()} == {"x"}
+    assert {r.name for r in names.scope_facts(flat).filter("is_odd").collect()} == {"x"}
+
+
 def test_a_batch_of_orders_is_not_broadcast(spark):
     assert "Broadcast" not in plan(queries_changes.run_summary(spark, SF_DIR))
 
