@@ -118,6 +118,12 @@ def test_only_names_declared_nonlocal_take_the_general_way(spark, files_of):
     assert {r.name for r in names.scope_facts(flat).filter("is_odd").collect()} == {"x"}
 
 
+def test_the_id_of_a_node_is_made_once(spark, files_of):
+    """One digest for the node and one for the edge, not one for each end of it."""
+    flat = materialise(syntax_rows(files_of(NAMES), texts=False, paths=True), "syntax")
+    assert plan(graph.with_ids(resolved_places(flat), flat)).count("sha2(") == 2
+
+
 def test_a_batch_of_orders_is_not_broadcast(spark):
     assert "Broadcast" not in plan(queries_changes.run_summary(spark, SF_DIR))
 
